@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.text import distinct_lower_tokens, lower_tokens
+from ..session import materialize
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 
@@ -41,23 +42,47 @@ class PlaceModel:
         self.class_counts.write.mode(mode).parquet(f"{path.rstrip('/')}/class_counts")
         self.term_counts.write.mode(mode).parquet(f"{path.rstrip('/')}/term_counts")
 
+    def materialize(self, name: str = "place-model") -> PlaceModel:
+        """Write both tables once under the shared checkpoint folder and return the model reading them back.
+
+        Scoring uses the term table several times with different column needs, so the optimizer cannot share
+        one computation between the uses; a written model is fitted exactly once and cuts the lineage (a lost
+        executor re-reads files instead of re-exploding all texts).
+        """
+        return PlaceModel(materialize(self.class_counts, f"{name}-class-counts"),
+                          materialize(self.term_counts, f"{name}-term-counts"))
+
     @staticmethod
     def load(spark, path: str) -> PlaceModel:
         return PlaceModel(spark.read.parquet(f"{path.rstrip('/')}/class_counts"),
                           spark.read.parquet(f"{path.rstrip('/')}/term_counts"))
 
 
-def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT) -> PlaceModel:
+def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
+                    vocabulary: DataFrame | None = None,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> PlaceModel:
     """Count messages per place and, per (place, word), messages containing the lower-cased word.
 
-    Both are partial/final aggregates; (place, word) keys spread a hot place over all reducers.
+    Both are partial/final aggregates; (place, word) keys spread a hot place over all reducers. With
+    ``vocabulary`` (a one-column DataFrame of words, e.g. the words of a batch of inputs) the term table is
+    restricted to those words *before* the aggregation shuffle: a model fitted for one scoring batch then
+    shuffles only the (place, word) pairs that batch can look up. Scores of inputs whose words are all in the
+    vocabulary are identical to those of the full model.
     """
     class_counts = m.groupBy(F.col(key).alias(S.PLACE_NAME)).agg(F.count(F.lit(1)).alias("tc"))
     words = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(distinct_lower_tokens(text)).alias("word"))
+    if vocabulary is not None:
+        vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct()
+        words = words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left_semi")
     term_counts = words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("tcw"))
     return PlaceModel(class_counts, term_counts)
 
 
+def input_vocabulary(inputs: DataFrame) -> DataFrame:
+    """``word``: the distinct lower-cased tokens of all inputs."""
+    return input_words(inputs).select("word").distinct()
+
+
 def input_words(inputs: DataFrame) -> DataFrame:
     """``(input_id, pos, word)``: every lower-cased single-space token of every input, with its position."""
     return inputs.select("input_id", F.posexplode(lower_tokens("text")).alias("pos", "word"))
@@ -66,7 +91,7 @@ def input_words(inputs: DataFrame) -> DataFrame:
 def restrict_terms(term_counts: DataFrame, inputs: DataFrame,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Model rows whose word occurs in some input (left semi join on the input vocabulary)."""
-    vocab = input_words(inputs).select("word").distinct()
+    vocab = input_vocabulary(inputs)
     return term_counts.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left_semi").select(
         S.PLACE_NAME, "word", "tcw")
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schema as S
 from ..operators import bayes, stats, words
 from ..sources.tables import inputs_from_benchmark, messages_from_tables
+from ..sources.words import word_list
 
 # Parameters of the registered queries (the message binding maps language codes to upper-case country codes).
 COUNTRY_CODE = "EN"
@@ -33,13 +34,19 @@ def _m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stopwords(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOPWORDS], "word string")
+    return word_list(spark, STOPWORDS)
 
 
 def _model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
     return bayes.fit_place_model(_m(spark, sf_dir))
 
 
+def _batch_model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
+    """Model fitted for one scoring batch: term counts restricted to the batch's words before the shuffle."""
+    vocab = bayes.input_vocabulary(inputs_from_benchmark(spark, sf_dir))
+    return bayes.fit_place_model(_m(spark, sf_dir), vocabulary=vocab).materialize()
+
+
 def queries() -> dict[str, Query]:
     return {
         "messages": lambda spark, d: _m(spark, d),
@@ -72,8 +79,10 @@ def queries() -> dict[str, Query]:
         "vocabulary_semi": lambda spark, d: bayes.restrict_terms(
             _model(spark, d).term_counts, inputs_from_benchmark(spark, d)),
         "score_places": lambda spark, d: bayes.score_places(
-            _model(spark, d), inputs_from_benchmark(spark, d)),
+            _batch_model(spark, d), inputs_from_benchmark(spark, d)),
         "predict_place": lambda spark, d: bayes.predict_place(
+            _batch_model(spark, d), inputs_from_benchmark(spark, d)),
+        "predict_place_full_model": lambda spark, d: bayes.predict_place(
             _model(spark, d), inputs_from_benchmark(spark, d)),
         "sample": lambda spark, d: _m(spark, d).sample(False, 0.01, seed=5),
     }
@@ -282,4 +291,5 @@ SELECT place_name, word, tcw FROM term_counts WHERE word IN (SELECT word FROM in
         "score_places": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE)
         + "SELECT input_id, place_name, prob FROM scores",
         "predict_place": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE) + PREDICT_SQL,
+        "predict_place_full_model": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE) + PREDICT_SQL,
     }

@@ -20,7 +20,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 13-column message table derived from ``documents``, ``events``, ``customer`` and ``nation``."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    # Hash-partition documents on the join key. At scale the documents/events join is a sort-merge join that
+    # needs exactly this exchange (Spark reuses it, no second shuffle); when events is small enough to broadcast,
+    # it spreads the text work over all cores even if the document files have few row groups.
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition("doc_id")
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")

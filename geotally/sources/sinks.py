@@ -32,17 +32,19 @@ def tsv_lines(df: DataFrame, columns: Sequence[str] | None = None, trailing_tab:
 
 def write_lines(df: DataFrame, line: Column, path: str, order_by: Sequence[Column | str] = (),
                 single_file: bool = False, mode: str = "errorifexists") -> None:
-    """Write one text line per row, in ``order_by`` order (ordered part files, or one file if asked)."""
-    keys = [(F.col(c) if isinstance(c, str) else c).alias(f"__k{i}") for i, c in enumerate(order_by)]
-    out = df.select(line.alias("value"), *keys)
-    key_names = [f"__k{i}" for i in range(len(keys))]
+    """Write one text line per row, in ``order_by`` order (ordered part files, or one file if asked).
+
+    ``order_by`` refers to columns of ``df`` (names or sort orders such as ``F.desc("n")``).
+    """
+    out = df.withColumn("__line", line)
+    order = list(order_by)
     if single_file:
         out = out.repartition(1)
-        if key_names:
-            out = out.sortWithinPartitions(*key_names)
-    elif key_names:
-        out = out.orderBy(*key_names)
-    out.select("value").write.mode(mode).text(path)
+        if order:
+            out = out.sortWithinPartitions(*order)
+    elif order:
+        out = out.orderBy(*order)
+    out.select(F.col("__line").alias("value")).write.mode(mode).text(path)
 
 
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None,

@@ -1,0 +1,45 @@
+"""Incremental counts over a file stream equal the batch results."""
+
+import os
+
+from conftest import GOLDEN_TRAINING
+from geotally import schema as S
+from geotally.operators import bayes, stats
+from geotally.sources import tsv
+from geotally.streaming import (read_message_stream, read_running_counts, read_running_model,
+                                start_model_updates, start_running_counts)
+from test_io import SAMPLE_ROW, line, write_text
+
+
+def lines_for(pairs, country="United States"):
+    out = []
+    for place, text in pairs:
+        r = list(SAMPLE_ROW)
+        r[4], r[10], r[1] = place, text, country
+        out.append(line(r))
+    return out
+
+
+def test_stream_counts_and_model_match_batch(spark, tmp_path):
+    src = tmp_path / "in"
+    os.makedirs(src)
+    write_text(src / "part1.tsv", lines_for(GOLDEN_TRAINING[:3]))
+    write_text(src / "part2.tsv", lines_for(GOLDEN_TRAINING[3:], country="Canada"))
+    stream = read_message_stream(spark, str(src), max_files_per_trigger=1)
+
+    counts_dir, model_dir = str(tmp_path / "counts"), str(tmp_path / "model")
+    q1 = start_running_counts(stream, [S.COUNTRY_NAME], counts_dir, str(tmp_path / "ck1"), available_now=True)
+    q2 = start_model_updates(stream, model_dir, str(tmp_path / "ck2"), available_now=True)
+    q1.awaitTermination(120)
+    q2.awaitTermination(120)
+
+    batch = tsv.read_messages(spark, str(src))
+    assert sorted(map(tuple, read_running_counts(spark, counts_dir, [S.COUNTRY_NAME]).collect())) == \
+        sorted(map(tuple, stats.count_by(batch, S.COUNTRY_NAME).collect()))
+
+    streamed = read_running_model(spark, model_dir)
+    full = bayes.fit_place_model(batch)
+    assert sorted(map(tuple, streamed.term_counts.collect())) == sorted(map(tuple, full.term_counts.collect()))
+    inputs = spark.createDataFrame([(0, "state building")], "input_id long, text string")
+    got = bayes.predict_place(streamed, inputs).collect()
+    assert [(r.place_name, r.prob) for r in got] == [("NewYork", 0.19999999999999998)]

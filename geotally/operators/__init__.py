@@ -1,0 +1 @@
+"""Analyses over a messages DataFrame (typed as ``geotally.schema.MESSAGE_SCHEMA``)."""

@@ -1,0 +1 @@
+"""Composed jobs (file to file) and the registered queries over the test tables."""

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.time import epoch_millis
+from ..operators.joins import broadcast_if_small
+
+NATION_BROADCAST_ROWS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +30,11 @@ def messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # Join strategy is left to the planner: nation (and customer while small) fall under the statistics-based
-    # broadcast threshold; at scale documents/events/customer are sort-merge joins, with AQE splitting skewed keys.
+    # nation has a handful of keys: a shuffle join on it would put 1/25 of all messages into each of 25 tasks.
+    # It is broadcast after a bounded row-count check; documents/events/customer are left to the planner
+    # (sort-merge joins at scale, AQE splitting a hot user_id).
+    nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+                                NATION_BROADCAST_ROWS)
     joined = (docs.join(events, docs.doc_id == events.event_id)
               .join(customer, events.user_id == customer.c_custkey)
               .join(nation, customer.c_nationkey == nation.n_nationkey))

@@ -144,3 +144,19 @@ def test_run_analyses_writes_every_result(spark, tmp_path):
     assert words6[0] == "state\t12" and not any(w.startswith(("big\t", "new\t")) for w in words6)
     assert read_dir(f"{out}/result_7")[0].startswith("NewYork\tstate\t9\t")
     assert len(read_dir(f"{out}/result_4")) == 2
+
+
+def test_gzip_input(spark, tmp_path):
+    import gzip
+    p = tmp_path / "m.tsv.gz"
+    with gzip.open(p, "wt", encoding="utf-8") as f:
+        f.write("\n".join([line(SAMPLE_ROW)] * 3))
+    m = tsv.read_messages(spark, str(p))
+    assert m.count() == 3 and m.first().place_name == "NewYork"
+
+
+def test_inputs_keep_every_line(spark, tmp_path):
+    p = tmp_path / "in.txt"
+    write_text(p, ["first line", "", "third  line "])
+    rows = tsv.read_inputs(spark, str(p)).orderBy("input_id").collect()
+    assert [r.text for r in rows] == ["first line", "", "third  line "]

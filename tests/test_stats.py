@@ -88,3 +88,13 @@ def test_hours_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == ny and hours_utc == hours_ny
+
+
+def test_profile_approx_close_to_exact(spark):
+    rows = [message("t", user=f"u{i % 997}", country=f"c{i % 7}", place=f"p{i % 31}") for i in range(3000)]
+    m = messages_df(spark, rows)
+    exact = stats.profile(m).first()
+    approx = stats.profile(m, approx=True).first()
+    assert exact.n_distinct_username == 997
+    assert abs(approx.n_distinct_username - 997) <= 997 * 0.05
+    assert approx.n_distinct_country_name == 7 and approx.n_distinct_place_name == 31

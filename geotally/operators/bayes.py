@@ -29,10 +29,15 @@ from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 @dataclass(frozen=True)
 class PlaceModel:
-    """``class_counts(place_name, tc)`` and ``term_counts(place_name, word, tcw)``; T is the sum of ``tc``."""
+    """``class_counts(place_name, tc)`` and ``term_counts(place_name, word, tcw)``; T is the sum of ``tc``.
+
+    ``restricted`` marks a model fitted on a vocabulary (``fit_place_model(..., vocabulary=...)``): it may only
+    score inputs whose words are all in that vocabulary, and scoring then skips its own vocabulary filter.
+    """
 
     class_counts: DataFrame
     term_counts: DataFrame
+    restricted: bool = False
 
     def total(self) -> Column:
         """T as a scalar subquery (evaluated once per query, no join needed)."""
@@ -50,7 +55,7 @@ class PlaceModel:
         executor re-reads files instead of re-exploding all texts).
         """
         return PlaceModel(materialize(self.class_counts, f"{name}-class-counts"),
-                          materialize(self.term_counts, f"{name}-term-counts"))
+                          materialize(self.term_counts, f"{name}-term-counts"), self.restricted)
 
     @staticmethod
     def load(spark, path: str) -> PlaceModel:
@@ -75,7 +80,7 @@ def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
         vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct()
         words = words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left_semi")
     term_counts = words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("tcw"))
-    return PlaceModel(class_counts, term_counts)
+    return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)
 
 
 def input_vocabulary(inputs: DataFrame) -> DataFrame:
@@ -104,7 +109,8 @@ def score_places(model: PlaceModel, inputs: DataFrame, with_log: bool = False,
     iw = input_words(inputs)
     # Distinct words per input, with the positions at which each occurs (bounded by the input length).
     dw = iw.groupBy("input_id", "word").agg(F.collect_list("pos").alias("positions"))
-    terms = restrict_terms(model.term_counts, inputs, max_broadcast_rows)
+    terms = (model.term_counts.select(S.PLACE_NAME, "word", "tcw") if model.restricted
+             else restrict_terms(model.term_counts, inputs, max_broadcast_rows))
 
     # Per input word: in how many places it occurs. Pick each input's rarest word; an input with a word unknown
     # to the model has no candidate at all.

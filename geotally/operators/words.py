@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.text import FIELD_SEP, long_words
+from ..functions.text import FIELD_SEP, tokens
 from .joins import drop_stopwords
 from .stats import count_by
 
 
 def word_tokens(m: DataFrame, keep: Sequence[str] = (), longer_than: int = 2) -> DataFrame:
     """One row per kept token (``keep`` columns + ``word``): tokens longer than ``longer_than`` characters,
-    measured before lower-casing, then lower-cased. Repeated words of a message stay repeated."""
-    return m.select(*keep, F.explode(long_words(S.TEXT, longer_than)).alias("word"))
+    measured before lower-casing, then lower-cased. Repeated words of a message stay repeated.
+
+    Explode, filter and lower are plain expressions, so the whole chain stays in generated code (the array
+    form ``functions.long_words`` uses lambdas, which are interpreted per element).
+    """
+    toks = m.select(*keep, F.explode(tokens(S.TEXT)).alias("word"))
+    return toks.where(F.length("word") > F.lit(longer_than)).select(*keep, F.lower("word").alias("word"))
 
 
 def content_words(m: DataFrame, stopwords: DataFrame, keep: Sequence[str] = (), longer_than: int = 2) -> DataFrame:

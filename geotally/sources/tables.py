@@ -17,8 +17,22 @@ from ..operators.joins import broadcast_if_small
 NATION_BROADCAST_ROWS = 100_000
 
 
+# Stored types of the columns this binding reads. Declaring them skips schema inference (a job
+# per read) and reads only these columns.
+TABLE_SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "benchmark": "item_id bigint, text string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,29 @@ def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
     return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)
 
 
+def fit_and_write_place_model(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME,
+                              text: str = S.TEXT, name: str = "place-model",
+                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> PlaceModel:
+    """Fit in a single pass over the messages and write the counts once under the shared checkpoint folder.
+
+    Every message also emits one NULL marker word, so one (place, word) aggregate yields ``Tc`` (the marker
+    rows) and ``Tc,w`` (the word rows): one scan of the text, one shuffle, one written table, read back as the
+    two model tables (the marker split is a filter pushed into the Parquet scan).
+    """
+    toks = F.coalesce(distinct_lower_tokens(text), F.array().cast("array<string>"))
+    marked = F.concat(F.array(F.lit(None).cast("string")), toks)
+    words = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(marked).alias("word"))
+    if vocabulary is not None:
+        vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct().withColumn(
+            "__in", F.lit(True))
+        words = (words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left")
+                 .where(F.col("__in") | F.col("word").isNull()).drop("__in"))
+    counts = materialize(words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n")), name)
+    class_counts = counts.where(F.col("word").isNull()).select(S.PLACE_NAME, F.col("n").alias("tc"))
+    term_counts = counts.where(F.col("word").isNotNull()).select(S.PLACE_NAME, "word", F.col("n").alias("tcw"))
+    return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)
+
+
 def input_vocabulary(inputs: DataFrame) -> DataFrame:
     """``word``: the distinct lower-cased tokens of all inputs."""
     return input_words(inputs).select("word").distinct()

@@ -44,7 +44,7 @@ def _model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
 def _batch_model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
     """Model fitted for one scoring batch: term counts restricted to the batch's words before the shuffle."""
     vocab = bayes.input_vocabulary(inputs_from_benchmark(spark, sf_dir))
-    return bayes.fit_place_model(_m(spark, sf_dir), vocabulary=vocab).materialize()
+    return bayes.fit_and_write_place_model(_m(spark, sf_dir), vocabulary=vocab)
 
 
 def queries() -> dict[str, Query]:

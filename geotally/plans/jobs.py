@@ -105,7 +105,7 @@ def predict_files(spark: SparkSession, training: str, inputs: str, output: str,
         model = bayes.PlaceModel.load(spark, full_model)
     else:
         m = load_messages(spark, training, training_format, sample=sample, seed=seed)
-        model = bayes.fit_place_model(m, vocabulary=bayes.input_vocabulary(ins)).materialize("predict-model")
+        model = bayes.fit_and_write_place_model(m, vocabulary=bayes.input_vocabulary(ins), name="predict-model")
     pred = bayes.predict_place(model, ins)
     sinks.write_predictions(pred, output, mode=mode)
     return pred

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.text import distinct_lower_tokens, lower_tokens
 from ..session import materialize
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, keep_vocabulary
 
 
 @dataclass(frozen=True)
@@ -119,8 +119,7 @@ def input_words(inputs: DataFrame) -> DataFrame:
 def restrict_terms(term_counts: DataFrame, inputs: DataFrame,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Model rows whose word occurs in some input (left semi join on the input vocabulary)."""
-    vocab = input_vocabulary(inputs)
-    return term_counts.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left_semi").select(
+    return keep_vocabulary(term_counts, input_vocabulary(inputs), "word", max_broadcast_rows).select(
         S.PLACE_NAME, "word", "tcw")
 
 

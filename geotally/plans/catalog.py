@@ -74,6 +74,7 @@ def queries() -> dict[str, Query]:
             _m(spark, d), _stopwords(spark), S.PLACE_NAME, TOP_PLACES, TOP_WORDS, COUNTRY_CODE, PLACE_TYPE),
         "top_words_lines": lambda spark, d: words.wide_lines(words.top_words_in_top_groups(
             _m(spark, d), _stopwords(spark), S.PLACE_NAME, TOP_PLACES, TOP_WORDS, COUNTRY_CODE, PLACE_TYPE)),
+        "input_words": lambda spark, d: bayes.input_words(inputs_from_benchmark(spark, d)),
         "class_counts": lambda spark, d: _model(spark, d).class_counts,
         "term_counts": lambda spark, d: _model(spark, d).term_counts,
         "vocabulary_semi": lambda spark, d: bayes.restrict_terms(
@@ -284,6 +285,7 @@ SELECT place_name, place_n, r, word, n FROM top_words""",
 SELECT place_name, place_n,
        place_name || chr(9) || string_agg(word || chr(9) || CAST(n AS VARCHAR) || chr(9), '' ORDER BY r) AS line
 FROM top_words GROUP BY place_name, place_n""",
+        "input_words": w(INPUTS_CTE) + "SELECT input_id, CAST(pos AS INTEGER) AS pos, word FROM input_words",
         "class_counts": w(MESSAGES_CTE, MODEL_CTE) + "SELECT place_name, tc FROM class_counts",
         "term_counts": w(MESSAGES_CTE, MODEL_CTE) + "SELECT place_name, word, tcw FROM term_counts",
         "vocabulary_semi": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE) + """

@@ -5,6 +5,7 @@ lines from the executors. Usage from the command line::
 
     python -m geotally.plans.jobs analyses -m messages.tsv -o out/ [--stopwords sw.txt] [--sample]
     python -m geotally.plans.jobs predict -t training.tsv -i inputs.txt -o predictions/ [-s]
+    python -m geotally.plans.jobs convert -m messages.tsv -o messages.parquet [--partition-by country_code]
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from ..sources.words import read_stopwords, word_list
 def load_messages(spark: SparkSession, path: str, fmt: str = "tsv", on_bad: str = "fail",
                   sample: bool | float = False, seed: int | None = None) -> DataFrame:
     if fmt == "parquet":
-        m = spark.read.parquet(path)
+        m = tsv.read_parquet(spark, path)
         if sample:
             m = m.sample(False, tsv.SAMPLE_FRACTION if sample is True else float(sample), seed)
         return m
@@ -131,9 +132,18 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("-s", "--sample", action="store_true")
     p.add_argument("--master", default=None)
     a.add_argument("--master", default=None)
+    c = sub.add_parser("convert", help="convert tab-separated messages to Parquet once")
+    c.add_argument("-m", "--messages", required=True)
+    c.add_argument("-o", "--output", required=True)
+    c.add_argument("--on-bad", default="fail", choices=["fail", "null"])
+    c.add_argument("--partition-by", nargs="*", default=[])
+    c.add_argument("--master", default=None)
     args = parser.parse_args(argv)
     spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
-    if args.cmd == "analyses":
+    if args.cmd == "convert":
+        tsv.write_parquet(tsv.read_messages(spark, args.messages, args.on_bad), args.output,
+                          partition_by=tuple(args.partition_by))
+    elif args.cmd == "analyses":
         m = load_messages(spark, args.messages, args.format, sample=args.sample)
         sw = read_stopwords(spark, args.stopwords) if args.stopwords else None
         run_analyses(spark, m, args.output, sw, args.country_code)

@@ -160,3 +160,22 @@ def test_inputs_keep_every_line(spark, tmp_path):
     write_text(p, ["first line", "", "third  line "])
     rows = tsv.read_inputs(spark, str(p)).orderBy("input_id").collect()
     assert [r.text for r in rows] == ["first line", "", "third  line "]
+
+
+def test_partitioned_parquet_prunes_by_country(spark, tmp_path):
+    rows = []
+    for code, place in [("US", "NewYork"), ("US", "Boston"), ("GB", "London"), ("US", "NewYork")]:
+        r = list(SAMPLE_ROW)
+        r[2], r[4] = code, place
+        rows.append(line(r))
+    p = tmp_path / "m.tsv"
+    write_text(p, rows)
+    out = str(tmp_path / "pq")
+    jobs.main(["convert", "-m", str(p), "-o", out, "--partition-by", "country_code"])
+    m = jobs.load_messages(spark, out, "parquet")
+    assert m.columns == S.MESSAGE_COLUMNS
+    from geotally.operators import stats
+    counts = stats.filtered_count_by(m, country_code="US")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(country_code" in plan and "(country_code" in plan
+    assert [(r.place_name, r.n) for r in counts.collect()] == [("NewYork", 2), ("Boston", 1)]

@@ -41,13 +41,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by the session; set one only when none is configured.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one always wins. The fallback (a folder
-    under ``/tmp``) is meant for local runs and tests only.
+    under ``/tmp``) is used only for a ``local[...]`` master, as in tests: on a cluster a machine-local folder
+    would scatter the written tables over the executors' disks, so an unset setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not fallback and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors (e.g. on HDFS or S3)")
     target = configured or fallback or os.path.join("/tmp", "geotally-checkpoints")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

@@ -43,3 +43,21 @@ def test_stream_counts_and_model_match_batch(spark, tmp_path):
     inputs = spark.createDataFrame([(0, "state building")], "input_id long, text string")
     got = bayes.predict_place(streamed, inputs).collect()
     assert [(r.place_name, r.prob) for r in got] == [("NewYork", 0.19999999999999998)]
+
+
+def test_restart_from_checkpoint_counts_each_file_once(spark, tmp_path):
+    src = tmp_path / "in"
+    os.makedirs(src)
+    write_text(src / "a.tsv", lines_for(GOLDEN_TRAINING))
+    out, ck = str(tmp_path / "counts"), str(tmp_path / "ck")
+
+    def run():
+        q = start_running_counts(read_message_stream(spark, str(src)), [S.PLACE_NAME], out, ck,
+                                 available_now=True)
+        q.awaitTermination(120)
+        return dict(map(tuple, read_running_counts(spark, out, [S.PLACE_NAME]).collect()))
+
+    assert run() == {"NewYork": 3, "London": 2}
+    assert run() == {"NewYork": 3, "London": 2}          # restart: nothing new, nothing counted twice
+    write_text(src / "b.tsv", lines_for([("London", "tea")]))
+    assert run() == {"NewYork": 3, "London": 3}

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schema as S
 from ..operators import bayes, stats, words
 from ..sources.tables import inputs_from_benchmark, messages_from_tables
+from ..sources.tsv import stable_sample
 from ..sources.words import word_list
 
 # Parameters of the registered queries (the message binding maps language codes to upper-case country codes).
@@ -86,6 +87,7 @@ def queries() -> dict[str, Query]:
         "predict_place_full_model": lambda spark, d: bayes.predict_place(
             _model(spark, d).materialize("full-place-model"), inputs_from_benchmark(spark, d)),
         "sample": lambda spark, d: _m(spark, d).sample(False, 0.01, seed=5),
+        "sample_stable": lambda spark, d: stable_sample(_m(spark, d), 0.01, seed=5),
     }
 
 

@@ -64,8 +64,9 @@ def prediction_lines(predictions: DataFrame) -> DataFrame:
         F.array_join(F.transform(cells, lambda x: x["c"]), "").alias("line"))
 
 
-def write_predictions(predictions: DataFrame, path: str, single_file: bool = True,
+def write_predictions(predictions: DataFrame, path: str, single_file: bool = False,
                       mode: str = "errorifexists") -> None:
-    """One line per input, in input order (see ``prediction_lines``)."""
+    """One line per input, in input order (see ``prediction_lines``): range-partitioned, ordered part files, so
+    a large batch of inputs is written by many tasks; ``single_file=True`` only for small batches."""
     lines = prediction_lines(predictions)
     write_lines(lines, F.col("line"), path, order_by=["input_id"], single_file=single_file, mode=mode)

@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3).
 Each query is executed completely through the ``noop`` sink (whole plan, no result transfer to the driver),
 once untimed (warm-up), then BENCH_REPEAT times; ``queries`` holds the best time per query (as ``timeit``
-reports), ``median_total`` the sum of the per-query medians.
+reports), ``median_total`` the sum of the per-query medians. BENCH_EXTRA_CONF (JSON object) adds session settings
+for experiments; by default none are added.
 Prints one JSON line: {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}.
 """
 
@@ -39,7 +40,7 @@ def main() -> None:
     from geotally.session import build_session
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app="geotally-bench",
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": "8g", **json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))})
     qs = queries()
     # Untimed warm-up pass over every headline query: JVM class loading and JIT, not part of any query's cost.
     # The timed pass below then measures a warm, long-lived session, as on a cluster.

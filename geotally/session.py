@@ -66,4 +66,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading with it skips the footer-inference job.
+    return spark.read.schema(df.schema).parquet(path)

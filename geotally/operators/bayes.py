@@ -77,7 +77,7 @@ def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
     class_counts = m.groupBy(F.col(key).alias(S.PLACE_NAME)).agg(F.count(F.lit(1)).alias("tc"))
     words = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(distinct_lower_tokens(text)).alias("word"))
     if vocabulary is not None:
-        vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct()
+        vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word"))
         words = words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left_semi")
     term_counts = words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("tcw"))
     return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)

@@ -24,16 +24,18 @@ def drop_stopwords(words: DataFrame, stopwords: DataFrame, word_col: str = "word
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Remove rows whose ``word_col`` is a stopword (left anti join; duplicates on the left are kept).
 
-    Apply it before counting so the most frequent tokens never reach the aggregation shuffle.
+    Apply it before counting so the most frequent tokens never reach the aggregation shuffle. Duplicates in
+    ``stopwords`` do not change an anti join, so the list is used as given (no extra shuffle to de-duplicate).
     """
-    sw = stopwords.select(F.col(stopwords.columns[0]).alias("__sw")).distinct()
+    sw = stopwords.select(F.col(stopwords.columns[0]).alias("__sw"))
     sw = broadcast_if_small(sw, max_broadcast_rows)
     return words.join(sw, F.col(word_col) == F.col("__sw"), "left_anti")
 
 
 def keep_vocabulary(words: DataFrame, vocabulary: DataFrame, word_col: str = "word",
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Keep rows whose ``word_col`` occurs in ``vocabulary`` (left semi join)."""
-    vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("__vw")).distinct()
+    """Keep rows whose ``word_col`` occurs in ``vocabulary`` (left semi join; duplicates in ``vocabulary`` do not
+    change the result)."""
+    vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("__vw"))
     vocab = broadcast_if_small(vocab, max_broadcast_rows)
     return words.join(vocab, F.col(word_col) == F.col("__vw"), "left_semi")

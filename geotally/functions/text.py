@@ -24,8 +24,9 @@ def tokens(text: str | Column) -> Column:
 
 
 def word_count(text: str | Column) -> Column:
-    """Number of single-space tokens: one more than the number of spaces."""
-    return F.size(tokens(text))
+    """Number of single-space tokens: one more than the number of spaces (NULL for a NULL text, whatever
+    ``spark.sql.legacy.sizeOfNull`` says)."""
+    return F.when(_col(text).isNotNull(), F.size(tokens(text)))
 
 
 def char_length(text: str | Column) -> Column:

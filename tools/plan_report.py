@@ -35,6 +35,17 @@ def summarize(plan: str) -> dict[str, object]:
     }
 
 
+SHOWN = ("word_counts", "top_words_in_top_places", "predict_place")
+
+
+def clean(plan: str) -> str:
+    """Plan text without expression ids and plan ids, long lines shortened."""
+    plan = re.sub(r"#\d+L?", "", plan)
+    plan = re.sub(r", \[plan_id=\d+\]", "", plan)
+    plan = re.sub(r"\[id=#\d+\]", "", plan)
+    return "\n".join(ln if len(ln) <= 220 else ln[:217] + "..." for ln in plan.splitlines())
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     import __spark_entry__ as E
@@ -43,11 +54,14 @@ def main() -> None:
     spark = build_session("local[8]", 8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
     rows = []
     keys = None
+    shown = {}
     for name, fn in E.queries().items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         keys = list(s)
         rows.append((name, s))
+        if name in SHOWN:
+            shown[name] = clean(plan)
     spark.stop()
     print("# Physical plans of the registered queries (large-table planning)\n")
     print("Generated by `python tools/plan_report.py`. Planner-estimated broadcasts are off; explicit broadcasts")
@@ -56,6 +70,11 @@ def main() -> None:
     print("|---" * (len(keys) + 1) + "|")
     for name, s in rows:
         print(f"| {name} | " + " | ".join(str(s[k]) for k in keys) + " |")
+    for name in SHOWN:
+        print(f"\n## {name}\n")
+        print("```")
+        print(shown[name])
+        print("```")
 
 
 if __name__ == "__main__":

@@ -44,7 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     under ``/tmp``) is used only for a ``local[...]`` master, as in tests: on a cluster a machine-local folder
     would scatter the written tables over the executors' disks, so an unset setting is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext: use the configured folder as is.
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

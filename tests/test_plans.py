@@ -67,3 +67,14 @@ def test_same_result_for_1_4_64_partitions(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
     assert results[0] == results[1] == results[2]
+
+
+def test_documents_shuffled_once_in_sort_merge_join(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = plan_text(E.queries()["word_counts"](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    assert plan.count("hashpartitioning(doc_id") == 1

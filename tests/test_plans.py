@@ -78,3 +78,18 @@ def test_documents_shuffled_once_in_sort_merge_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan
     assert plan.count("hashpartitioning(doc_id") == 1
+
+
+def test_broadcast_only_within_the_checked_bound(spark):
+    from geotally.operators.joins import broadcast_if_small
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(10).withColumnRenamed("id", "k")
+        within = plan_text(big.join(broadcast_if_small(small, max_rows=10), "k"))
+        beyond = plan_text(big.join(broadcast_if_small(small, max_rows=9), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in within
+    assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond

@@ -83,14 +83,13 @@ def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
     return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)
 
 
-def fit_and_write_place_model(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME,
-                              text: str = S.TEXT, name: str = "place-model",
-                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> PlaceModel:
-    """Fit in a single pass over the messages and write the counts once under the shared checkpoint folder.
+def place_counts(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME, text: str = S.TEXT,
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Both model counts from a single pass: ``(place_name, word, n)`` where ``word`` NULL carries ``Tc``.
 
     Every message also emits one NULL marker word, so one (place, word) aggregate yields ``Tc`` (the marker
-    rows) and ``Tc,w`` (the word rows): one scan of the text, one shuffle, one written table, read back as the
-    two model tables (the marker split is a filter pushed into the Parquet scan).
+    rows) and ``Tc,w`` (the word rows): one scan of the text and one shuffle. With ``vocabulary`` the words are
+    restricted to it before the aggregation (the markers are always kept).
     """
     toks = F.coalesce(distinct_lower_tokens(text), F.array().cast("array<string>"))
     marked = F.concat(F.array(F.lit(None).cast("string")), toks)
@@ -100,10 +99,23 @@ def fit_and_write_place_model(m: DataFrame, vocabulary: DataFrame | None = None,
             "__in", F.lit(True))
         words = (words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left")
                  .where(F.col("__in") | F.col("word").isNull()).drop("__in"))
-    counts = materialize(words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n")), name)
+    return words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def model_from_counts(counts: DataFrame, restricted: bool = False) -> PlaceModel:
+    """The two model tables from ``place_counts`` output (the marker split is a filter, pushed into a scan)."""
     class_counts = counts.where(F.col("word").isNull()).select(S.PLACE_NAME, F.col("n").alias("tc"))
     term_counts = counts.where(F.col("word").isNotNull()).select(S.PLACE_NAME, "word", F.col("n").alias("tcw"))
-    return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)
+    return PlaceModel(class_counts, term_counts, restricted)
+
+
+def fit_and_write_place_model(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME,
+                              text: str = S.TEXT, name: str = "place-model",
+                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> PlaceModel:
+    """Fit in a single pass (``place_counts``) and write the counts once under the shared checkpoint folder;
+    the returned model reads the written table (one scan of the text, one shuffle, one write)."""
+    counts = materialize(place_counts(m, vocabulary, key, text, max_broadcast_rows), name)
+    return model_from_counts(counts, restricted=vocabulary is not None)
 
 
 def input_vocabulary(inputs: DataFrame) -> DataFrame:

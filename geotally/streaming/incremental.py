@@ -65,13 +65,12 @@ def read_running_counts(spark: SparkSession, out_dir: str, keys: Sequence[str])
 
 def start_model_updates(stream: DataFrame, model_dir: str, checkpoint: str | None = None,
                         available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
-    """Per micro-batch place-model counts (``Tc`` and ``Tc,w``) appended as partials under ``model_dir``."""
+    """Per micro-batch place-model counts (``Tc`` and ``Tc,w`` in one single-pass aggregate) appended as
+    partials under ``model_dir``."""
     base = model_dir.rstrip("/")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        model = bayes.fit_place_model(df.select(S.PLACE_NAME, S.TEXT))
-        _write_partial(model.class_counts, batch_id, f"{base}/class_counts")
-        _write_partial(model.term_counts, batch_id, f"{base}/term_counts")
+        _write_partial(bayes.place_counts(df.select(S.PLACE_NAME, S.TEXT)), batch_id, f"{base}/counts")
 
     writer = stream.writeStream.foreachBatch(batch).option(
         "checkpointLocation", _checkpoint(stream.sparkSession, "place-model", checkpoint))
@@ -84,9 +83,6 @@ def start_model_updates(stream: DataFrame, model_dir: str, checkpoint: str | Non
 
 def read_running_model(spark: SparkSession, model_dir: str) -> bayes.PlaceModel:
     """The place model over everything streamed so far (partials summed per place and per (place, word))."""
-    base = model_dir.rstrip("/")
-    cc = spark.read.parquet(f"{base}/class_counts").groupBy(S.PLACE_NAME).agg(
-        F.sum("tc").cast("long").alias("tc"))
-    tc = spark.read.parquet(f"{base}/term_counts").groupBy(S.PLACE_NAME, "word").agg(
-        F.sum("tcw").cast("long").alias("tcw"))
-    return bayes.PlaceModel(cc, tc)
+    counts = spark.read.parquet(f"{model_dir.rstrip('/')}/counts").groupBy(S.PLACE_NAME, "word").agg(
+        F.sum("n").cast("long").alias("n"))
+    return bayes.model_from_counts(counts)

@@ -52,3 +52,25 @@ def test_tokens_and_word_counts_match_python(spark, texts):
 def test_py_float_matches_str(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert [r[0] for r in df.select(py_float("x")).collect()] == [str(v) for v in values]
+
+
+WORDS = ["a", "b", "c", "dd", "E", ""]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["P", "Q", "R", "S"]),
+                          st.lists(st.sampled_from(WORDS), min_size=1, max_size=5)), min_size=1, max_size=40),
+       st.lists(st.lists(st.sampled_from(WORDS + ["zz"]), min_size=1, max_size=4), min_size=1, max_size=8))
+def test_predictions_match_brute_force(spark, corpus, queries):
+    from geotally.operators import bayes
+    from test_scale import brute_predict
+    rows = [message(" ".join(ws), place=p) for p, ws in corpus]
+    texts = [" ".join(q) for q in queries]
+    m = messages_df(spark, rows)
+    inputs = spark.createDataFrame(list(enumerate(texts)), "input_id long, text string")
+    model = bayes.fit_and_write_place_model(m, vocabulary=bayes.input_vocabulary(inputs))
+    got = {}
+    for r in bayes.predict_place(model, inputs).collect():
+        got.setdefault(r.input_id, []).append((r.place_name, r.prob))
+    for i, t in enumerate(texts):
+        assert sorted(got[i], key=lambda x: (x[0] is None, x[0])) == brute_predict(rows, t), t

@@ -74,3 +74,33 @@ def test_predictions_match_brute_force(spark, corpus, queries):
         got.setdefault(r.input_id, []).append((r.place_name, r.prob))
     for i, t in enumerate(texts):
         assert sorted(got[i], key=lambda x: (x[0] is None, x[0])) == brute_predict(rows, t), t
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["P", "Q", "R", "S", "T", "U", "V"]),
+                          st.sampled_from(["US", "GB"]), st.sampled_from(["city", "admin"]),
+                          st.lists(st.sampled_from(["aaa", "bbb", "Ccc", "ddd", "the", "ab", "eee", "fff"]),
+                                   min_size=1, max_size=6)), min_size=1, max_size=80))
+def test_top_words_match_brute_force(spark, corpus):
+    from test_scale import brute_top_words
+    rows = [message(" ".join(ws), place=p, code=c, ptype=t) for p, c, t, ws in corpus]
+    m = messages_df(spark, rows)
+    got = [tuple(r) for r in words.top_words_in_top_groups(m, word_list(spark, ["the"]), top_groups_n=3,
+                                                         top_words_n=2).collect()]
+    assert got == brute_top_words(rows, {"the"}, m=3, n=2)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 3 * 86_400_000),
+                          st.sampled_from([-3600, 0, 7200])), min_size=1, max_size=120))
+def test_peak_hour_matches_brute_force(spark, events):
+    from collections import Counter
+    rows = [message("t", country=c, utc=u, offset=o) for c, u, o in events]
+    got = {r.country_name: (r.hour, r.n) for r in stats.peak_local_hour(messages_df(spark, rows)).collect()}
+    want = {}
+    counts = Counter((c, python_hour(u, o)) for c, u, o in events)
+    for (c, h), n in counts.items():
+        best = want.get(c)
+        if best is None or n > best[1] or (n == best[1] and h < best[0]):
+            want[c] = (h, n)
+    assert got == want

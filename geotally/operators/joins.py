@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows: ``limit(max_rows + 1).count()`` stops reading once the bound
+    is exceeded and brings one number to the driver, never the rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows; otherwise leave it to a shuffle join.
 
@@ -16,8 +22,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     one number to the driver, never the rows. Beyond the bound the join stays a shuffle (sort-merge) join, and
     AQE may still switch it to a broadcast from runtime statistics.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def drop_stopwords(words: DataFrame, stopwords: DataFrame, word_col: str = "word",

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.time import epoch_millis
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import broadcast_if_small, fits_broadcast
 
 NATION_BROADCAST_ROWS = 100_000
+# Up to this many events (a few tens of MB of narrow rows) are broadcast to the documents.
+EVENTS_BROADCAST_ROWS = 1_000_000
 
 
 # Stored types of the columns this binding reads. Declaring them skips schema inference (a job
@@ -45,15 +47,21 @@ def messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     # nation has a handful of keys: a shuffle join on it would put 1/25 of all messages into each of 25 tasks.
-    # It is broadcast after a bounded row-count check; documents/events/customer are left to the planner
-    # (sort-merge joins at scale, AQE splitting a hot user_id).
+    # It is broadcast after a bounded row-count check. customer is left to the planner (a broadcast while small,
+    # a sort-merge join at scale with AQE splitting a hot user_id).
     nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
                                 NATION_BROADCAST_ROWS)
-    # Join order: the narrow per-event attributes (events ⋈ customer ⋈ nation) first, the wide documents last,
-    # so the text is shuffled exactly once (on doc_id) instead of again for the user_id join.
-    per_event = (events.join(customer, events.user_id == customer.c_custkey)
-                 .join(nation, customer.c_nationkey == nation.n_nationkey))
-    joined = docs.join(per_event, docs.doc_id == per_event.event_id)
+    if fits_broadcast(events, EVENTS_BROADCAST_ROWS):
+        # Small events table (checked): documents stream through broadcast lookups in one stage.
+        joined = (docs.join(F.broadcast(events), docs.doc_id == events.event_id)
+                  .join(customer, events.user_id == customer.c_custkey)
+                  .join(nation, customer.c_nationkey == nation.n_nationkey))
+    else:
+        # Large: join the narrow per-event attributes (events ⋈ customer ⋈ nation) first and the wide documents
+        # last, so the text is shuffled exactly once (on doc_id) instead of again for the user_id join.
+        per_event = (events.join(customer, events.user_id == customer.c_custkey)
+                     .join(nation, customer.c_nationkey == nation.n_nationkey))
+        joined = docs.join(per_event, docs.doc_id == per_event.event_id)
     return joined.select(
         epoch_millis("ts").alias(S.UTC_TIME),
         F.col("n_name").alias(S.COUNTRY_NAME),

@@ -70,14 +70,20 @@ def test_same_result_for_1_4_64_partitions(spark, name):
 
 
 def test_documents_shuffled_once_in_sort_merge_join(spark):
+    from geotally.sources import tables
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_rows = tables.EVENTS_BROADCAST_ROWS
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        tables.EVENTS_BROADCAST_ROWS = 0
         plan = plan_text(E.queries()["word_counts"](spark, SF001))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        tables.EVENTS_BROADCAST_ROWS = old_rows
     assert "SortMergeJoin" in plan
     assert plan.count("hashpartitioning(doc_id") == 1
+    # narrow per-event side joined first: the documents' join is the last one, on doc_id = event_id
+    assert plan.count("hashpartitioning(event_id") == 1 and plan.count("hashpartitioning(user_id") == 1
 
 
 def test_broadcast_only_within_the_checked_bound(spark):

@@ -15,10 +15,15 @@ from test_oracle import canon, con  # noqa: F401  (fixture)
 
 @pytest.fixture(scope="module")
 def no_broadcast(spark):
+    """Large-table planning: no estimate-based broadcasts and the large-events join order."""
+    from geotally.sources import tables
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_rows = tables.EVENTS_BROADCAST_ROWS
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tables.EVENTS_BROADCAST_ROWS = 0
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tables.EVENTS_BROADCAST_ROWS = old_rows
 
 
 @pytest.mark.parametrize("name", ["count_by_country", "peak_local_hour", "word_counts", "top_words_in_top_places",
@@ -27,6 +32,8 @@ def test_sort_merge_join_path_matches_duckdb(spark, con, no_broadcast, name):  #
     df = E.queries()[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
+    # every documents scan is shuffled exactly once (on doc_id, straight into the join)
+    assert plan.count("hashpartitioning(doc_id") == plan.count("documents.parquet")
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert canon([tuple(r) for r in df.collect()], df.columns) == canon(res.fetchall(), ocols)

@@ -2,8 +2,9 @@
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
 
-Broadcasts that rely on the planner's size estimate are switched off (``autoBroadcastJoinThreshold=-1``) so the
-plans are those of large inputs; explicit, size-checked broadcasts remain. For each query: exchanges by kind,
+Broadcasts that rely on the planner's size estimate are switched off (``autoBroadcastJoinThreshold=-1``) and the
+events table is treated as large, so the plans are those of large inputs; explicit, size-checked broadcasts of
+small sides remain. For each query: exchanges by kind,
 join strategies, partial aggregates and group limits, and whether any Python evaluation appears.
 """
 
@@ -51,6 +52,9 @@ def main() -> None:
     import __spark_entry__ as E
     from geotally.session import build_session
 
+    from geotally.sources import tables
+
+    tables.EVENTS_BROADCAST_ROWS = 0  # the join order chosen for large event tables
     spark = build_session("local[8]", 8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
     rows = []
     keys = None

@@ -3,9 +3,9 @@
 Each job reads messages (tab-separated text or Parquet), runs one declarative plan and writes tab-separated
 lines from the executors. Usage from the command line::
 
-    python -m geotally.plans.jobs analyses -m messages.tsv -o out/ [--stopwords sw.txt] [--sample]
-    python -m geotally.plans.jobs predict -t training.tsv -i inputs.txt -o predictions/ [-s]
-    python -m geotally.plans.jobs convert -m messages.tsv -o messages.parquet [--partition-by country_code]
+    python -m geotally analyses -m messages.tsv -o out/ [--stopwords sw.txt] [--sample]
+    python -m geotally predict -t training.tsv -i inputs.txt -o predictions/ [-s]
+    python -m geotally convert -m messages.tsv -o messages.parquet [--partition-by country_code]
 """
 
 from __future__ import annotations

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .op1_sentencepiece import op1_sentencepiece
+from .op8_simhash import op8_simhash
 from .op10_decontaminate import SQL as OP10_SQL
 from .op10_decontaminate import op10_decontaminate
 
-QUERIES = {f.__name__: f for f in (op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op8_simhash, op10_decontaminate)}
 ORACLE_SQL = {"op10_decontaminate": OP10_SQL}

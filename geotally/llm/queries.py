@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from .op1_sentencepiece import op1_sentencepiece
+from .op4_reputation import SQL as OP4_SQL
+from .op4_reputation import op4_reputation
+from .op7_licences import SQL as OP7_SQL
+from .op7_licences import op7_licences
 from .op8_simhash import op8_simhash
+from .op9_chat import SQL as OP9_SQL
+from .op9_chat import op9_chat
 from .op10_decontaminate import SQL as OP10_SQL
 from .op10_decontaminate import op10_decontaminate
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op8_simhash, op10_decontaminate)}
-ORACLE_SQL = {"op10_decontaminate": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op4_reputation, op7_licences, op8_simhash, op9_chat, op10_decontaminate)}
+ORACLE_SQL = {"op4_reputation": OP4_SQL, "op7_licences": OP7_SQL, "op9_chat": OP9_SQL, "op10_decontaminate": OP10_SQL}

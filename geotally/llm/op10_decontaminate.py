@@ -188,6 +188,8 @@ def merged(name: str):
 @F.udf(StringType())
 def cut(text, spans):
     """The text without its spans, a line break in place of each."""
+    if spans is None:
+        return None
     raw, kept, at = text.encode(), [], 0
     for span in spans:
         kept.append(raw[at : span["start"]])
@@ -202,7 +204,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     found = found.withColumn("__left", F.col("__n") - F.aggregate("hits", F.lit(0), lambda a, h: a + h["end"] - h["start"])).drop("hits", "__n")
     found = found.dropDuplicates(["doc_id"])
     joined = docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left")
-    text = F.when(F.col("__spans").isNull(), F.col("d.text")).otherwise(cut(F.col("d.text"), F.col("__spans")))
+    text = F.when(F.col("__spans").isNull(), F.col("d.text")).otherwise(cut(F.when(F.col("__spans").isNotNull(), F.col("d.text")), F.col("__spans")))
     return joined.where(F.col("__left").isNull() | (F.col("__left") > 0)).select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
 
 

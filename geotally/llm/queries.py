@@ -8,6 +8,7 @@ from .op3_decision_list import op3_decision_list
 from .op4_reputation import SQL as OP4_SQL
 from .op4_reputation import op4_reputation
 from .op5_toxicity import op5_toxicity
+from .op6_paragraphs import op6_paragraphs
 from .op7_licences import SQL as OP7_SQL
 from .op7_licences import op7_licences
 from .op8_simhash import op8_simhash
@@ -16,5 +17,5 @@ from .op9_chat import op9_chat
 from .op10_decontaminate import SQL as OP10_SQL
 from .op10_decontaminate import op10_decontaminate
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_brown, op3_decision_list, op4_reputation, op5_toxicity, op7_licences, op8_simhash, op9_chat, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_brown, op3_decision_list, op4_reputation, op5_toxicity, op6_paragraphs, op7_licences, op8_simhash, op9_chat, op10_decontaminate)}
 ORACLE_SQL = {"op4_reputation": OP4_SQL, "op7_licences": OP7_SQL, "op9_chat": OP9_SQL, "op10_decontaminate": OP10_SQL}

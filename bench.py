@@ -29,6 +29,7 @@ HEADLINE = (
     "top_words_in_top_places",
     "term_counts",
     "predict_place",
+    "predict_place_full_model",
 )
 
 

@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import FIELD_SEP
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Characters that would break a line, and how they are written. The backslash comes first.
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
+
+
+def escape(value: Column) -> Column:
+    """A text field without tabs and line breaks; ``unescape`` undoes it."""
+    for char, written in ESCAPES:
+        value = F.replace(value, F.lit(char), F.lit(written))
+    return value
+
+
+def unescape(value: Column) -> Column:
+    """The text that ``escape`` was given: pairs of backslashes first divide the text, so that none is read twice."""
+    def part(x: Column) -> Column:
+        for char, written in ESCAPES[1:]:
+            x = F.replace(x, F.lit(written), F.lit(char))
+        return x
+
+    return F.array_join(F.transform(F.split(value, r"\\\\", -1), part), "\\")
+
+
 def fixed(value: str | Column, decimals: int) -> Column:
     """``value`` with exactly ``decimals`` digits after the point, no grouping.
 
@@ -21,11 +40,6 @@ def fixed(value: str | Column, decimals: int) -> Column:
     return F.regexp_replace(F.format_number(_col(value), decimals), ",", "")
 
 
-def tsv_line(*cols: str | Column) -> Column:
-    """One tab-separated line; every field rendered as a string."""
-    return F.concat_ws(FIELD_SEP, *[_col(c).cast("string") for c in cols])
-
-
 def _let(value: Column, body) -> Column:
     """Evaluate ``value`` once and pass it to ``body`` (a one-element ``transform``), so that a sub-result used
     many times is not copied into the expression tree at every use."""

@@ -42,12 +42,3 @@ def lower_tokens(text: str | Column) -> Column:
 def distinct_lower_tokens(text: str | Column) -> Column:
     """Each lower-cased token once per text: one vote per message per word."""
     return F.array_distinct(lower_tokens(text))
-
-
-def long_words(text: str | Column, longer_than: int = 2) -> Column:
-    """Tokens whose length (tested *before* lower-casing) exceeds ``longer_than``, then lower-cased.
-
-    Filtering inside the array (higher-order ``filter``/``transform``) means short tokens never become rows.
-    """
-    kept = F.filter(tokens(text), lambda w: F.length(w) > F.lit(longer_than))
-    return F.transform(kept, lambda w: F.lower(w))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.text import distinct_lower_tokens, lower_tokens
 from ..session import materialize
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, keep_vocabulary
+from .joins import keep_vocabulary
 
 
 @dataclass(frozen=True)
@@ -63,43 +63,34 @@ class PlaceModel:
                           spark.read.parquet(f"{path.rstrip('/')}/term_counts"))
 
 
-def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
-                    vocabulary: DataFrame | None = None,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> PlaceModel:
-    """Count messages per place and, per (place, word), messages containing the lower-cased word.
-
-    Both are partial/final aggregates; (place, word) keys spread a hot place over all reducers. With
-    ``vocabulary`` (a one-column DataFrame of words, e.g. the words of a batch of inputs) the term table is
-    restricted to those words *before* the aggregation shuffle: a model fitted for one scoring batch then
-    shuffles only the (place, word) pairs that batch can look up. Scores of inputs whose words are all in the
-    vocabulary are identical to those of the full model.
-    """
-    class_counts = m.groupBy(F.col(key).alias(S.PLACE_NAME)).agg(F.count(F.lit(1)).alias("tc"))
-    words = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(distinct_lower_tokens(text)).alias("word"))
-    if vocabulary is not None:
-        vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word"))
-        words = words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left_semi")
-    term_counts = words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("tcw"))
-    return PlaceModel(class_counts, term_counts, restricted=vocabulary is not None)
-
-
-def place_counts(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME, text: str = S.TEXT,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def place_counts(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME,
+                 text: str = S.TEXT) -> DataFrame:
     """Both model counts from a single pass: ``(place_name, word, n)`` where ``word`` NULL carries ``Tc``.
 
     Every message also emits one NULL marker word, so one (place, word) aggregate yields ``Tc`` (the marker
-    rows) and ``Tc,w`` (the word rows): one scan of the text and one shuffle. With ``vocabulary`` the words are
-    restricted to it before the aggregation (the markers are always kept).
+    rows) and ``Tc,w`` (the word rows): one scan of the text and one shuffle, to which a task sends one row per
+    place and word. With ``vocabulary`` the counted rows are restricted to its words (the markers stay): neither a
+    frequent word nor the markers are ever shuffled as raw rows.
     """
     toks = F.coalesce(distinct_lower_tokens(text), F.array().cast("array<string>"))
     marked = F.concat(F.array(F.lit(None).cast("string")), toks)
     words = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(marked).alias("word"))
-    if vocabulary is not None:
-        vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct().withColumn(
-            "__in", F.lit(True))
-        words = (words.join(broadcast_if_small(vocab, max_broadcast_rows), "word", "left")
-                 .where(F.col("__in") | F.col("word").isNull()).drop("__in"))
-    return words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n"))
+    if vocabulary is None:
+        return counts
+    vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct().withColumn("__in", F.lit(True))
+    return counts.join(vocab, "word", "left").where(F.col("__in") | F.col("word").isNull()).select(
+        S.PLACE_NAME, "word", "n")
+
+
+def fit_place_model(m: DataFrame, key: str = S.PLACE_NAME, text: str = S.TEXT,
+                    vocabulary: DataFrame | None = None) -> PlaceModel:
+    """Messages per place and, per (place, word), messages containing the lower-cased word (see ``place_counts``).
+
+    With ``vocabulary`` (a one-column DataFrame of words, e.g. the words of a batch of inputs) the term table holds
+    only those words. Scores of inputs whose words are all in it are identical to those of the full model.
+    """
+    return model_from_counts(place_counts(m, vocabulary, key, text), restricted=vocabulary is not None)
 
 
 def model_from_counts(counts: DataFrame, restricted: bool = False) -> PlaceModel:
@@ -110,11 +101,10 @@ def model_from_counts(counts: DataFrame, restricted: bool = False) -> PlaceModel
 
 
 def fit_and_write_place_model(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME,
-                              text: str = S.TEXT, name: str = "place-model",
-                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> PlaceModel:
+                              text: str = S.TEXT, name: str = "place-model") -> PlaceModel:
     """Fit in a single pass (``place_counts``) and write the counts once under the shared checkpoint folder;
     the returned model reads the written table (one scan of the text, one shuffle, one write)."""
-    counts = materialize(place_counts(m, vocabulary, key, text, max_broadcast_rows), name)
+    counts = materialize(place_counts(m, vocabulary, key, text), name)
     return model_from_counts(counts, restricted=vocabulary is not None)
 
 
@@ -128,39 +118,46 @@ def input_words(inputs: DataFrame) -> DataFrame:
     return inputs.select("input_id", F.posexplode(lower_tokens("text")).alias("pos", "word"))
 
 
-def restrict_terms(term_counts: DataFrame, inputs: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def restrict_terms(term_counts: DataFrame, inputs: DataFrame) -> DataFrame:
     """Model rows whose word occurs in some input (left semi join on the input vocabulary)."""
-    return keep_vocabulary(term_counts, input_vocabulary(inputs), "word", max_broadcast_rows).select(
-        S.PLACE_NAME, "word", "tcw")
+    return keep_vocabulary(term_counts, input_vocabulary(inputs), "word").select(S.PLACE_NAME, "word", "tcw")
 
 
-def score_places(model: PlaceModel, inputs: DataFrame, with_log: bool = False,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``(input_id, place_name, prob)`` for every place holding all words of the input (``prob`` may still be
-    0.0 through underflow on long inputs; ``with_log`` adds the finite ``log_prob``). Places missing a word
-    score exactly 0 and are not listed."""
-    iw = input_words(inputs)
-    # Distinct words per input, with the positions at which each occurs (bounded by the input length).
-    dw = iw.groupBy("input_id", "word").agg(F.collect_list("pos").alias("positions"))
-    terms = (model.term_counts.select(S.PLACE_NAME, "word", "tcw") if model.restricted
-             else restrict_terms(model.term_counts, inputs, max_broadcast_rows))
+# An input's score depends only on its lower-cased text: each different one is scored once, under this name.
+BAG = "__bag"
+
+
+def _bags(inputs: DataFrame) -> DataFrame:
+    """``(input_id, __bag)``: the lower-cased text of every input."""
+    return inputs.select("input_id", F.lower("text").alias(BAG))
+
+
+def _score_bags(model: PlaceModel, inputs: DataFrame, with_log: bool) -> DataFrame:
+    """``(__bag, place_name, prob[, log_prob])`` for every different lower-cased text. The distinct input words and the
+    model's rows for them are written once; everything after reads those."""
+    bags = _bags(inputs).select(BAG).distinct()
+    iw = bags.select(BAG, F.posexplode(lower_tokens(BAG)).alias("pos", "word"))
+    # Distinct words per text, with the positions at which each occurs (bounded by the text's length).
+    dw = materialize(iw.groupBy(BAG, "word").agg(F.collect_list("pos").alias("positions")), "input-words")
+    terms = model.term_counts.select(S.PLACE_NAME, "word", "tcw")
+    if not model.restricted:
+        terms = materialize(keep_vocabulary(terms, dw.select("word").distinct(), "word"), "input-terms")
 
     # Per input word: in how many places it occurs. Pick each input's rarest word; an input with a word unknown
     # to the model has no candidate at all.
     spread = terms.groupBy("word").agg(F.count(F.lit(1)).alias("n_places"))
-    per_input = dw.join(spread, "word", "left").groupBy("input_id").agg(
+    per_input = dw.join(spread, "word", "left").groupBy(BAG).agg(
         F.count(F.lit(1)).alias("n_words"),
         F.count("n_places").alias("n_known"),
         F.min(F.struct("n_places", "word")).alias("rarest"))
     anchors = per_input.where(F.col("n_known") == F.col("n_words")).select(
-        "input_id", "n_words", F.col("rarest.word").alias("word"))
-    candidates = anchors.join(terms, "word").select("input_id", "n_words", S.PLACE_NAME)
+        BAG, "n_words", F.col("rarest.word").alias("word"))
+    candidates = anchors.join(terms, "word").select(BAG, "n_words", S.PLACE_NAME)
 
     # Check every distinct input word against each candidate place (equi-join on place and word).
-    matched = (candidates.join(dw, "input_id")
+    matched = (candidates.join(dw, BAG)
                .join(terms, [S.PLACE_NAME, "word"])
-               .groupBy("input_id", S.PLACE_NAME, "n_words")
+               .groupBy(BAG, S.PLACE_NAME, "n_words")
                .agg(F.count(F.lit(1)).alias("n_matched"),
                     F.flatten(F.collect_list(F.transform(
                         "positions", lambda p: F.struct(p.alias("pos"), F.col("tcw").alias("tcw"))))).alias("f")))
@@ -169,7 +166,7 @@ def score_places(model: PlaceModel, inputs: DataFrame, with_log: bool = False,
     factors = F.array_sort("f")  # by position: fold in input-word order
     fold = F.aggregate(factors, F.lit(1.0).cast("double"), lambda acc, x: acc * (x["tcw"] / F.col("tc")))
     prior = F.col("tc") / model.total()
-    cols = ["input_id", S.PLACE_NAME, (prior * fold).alias("prob")]
+    cols = [BAG, S.PLACE_NAME, (prior * fold).alias("prob")]
     if with_log:
         log_sum = F.aggregate(factors, F.lit(0.0).cast("double"),
                               lambda acc, x: acc + F.log(x["tcw"] / F.col("tc")))
@@ -177,25 +174,31 @@ def score_places(model: PlaceModel, inputs: DataFrame, with_log: bool = False,
     return full.select(*cols)
 
 
-def predict_place(model: PlaceModel, inputs: DataFrame, rank_by: str = "prob",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def score_places(model: PlaceModel, inputs: DataFrame, with_log: bool = False) -> DataFrame:
+    """``(input_id, place_name, prob)`` for every place holding all words of the input (``prob`` may still be
+    0.0 through underflow on long inputs; ``with_log`` adds the finite ``log_prob``). Places missing a word
+    score exactly 0 and are not listed."""
+    return _bags(inputs).join(_score_bags(model, inputs, with_log), BAG).drop(BAG)
+
+
+def predict_place(model: PlaceModel, inputs: DataFrame, rank_by: str = "prob") -> DataFrame:
     """``(input_id, place_name, prob)``: the best place per input; both of the first two (by name) when the top
     scores are exactly equal; one row with NULL place and prob when the best score is 0 or no place matches.
 
     ``rank_by='log_prob'`` ranks long inputs whose product underflows by the log score instead (then ``prob``
-    may be 0.0 in the output).
+    may be 0.0 in the output). Places are ranked once per different text; equal inputs share the answer.
     """
-    scores = score_places(model, inputs, with_log=(rank_by == "log_prob"), max_broadcast_rows=max_broadcast_rows)
+    scores = _score_bags(model, inputs, with_log=(rank_by == "log_prob"))
     if rank_by == "log_prob":
         scores = scores.withColumn("__score", F.col("log_prob"))
         positive = F.col("__best").isNotNull()
     else:
         scores = scores.withColumn("__score", F.col("prob"))
         positive = F.col("__best") > F.lit(0.0)
-    # Keep the two best per input: the row_number filter is planned as a partial group limit before the shuffle.
-    w = Window.partitionBy("input_id").orderBy(F.desc("__score"), F.asc(S.PLACE_NAME))
+    # Keep the two best per text: the row_number filter is planned as a partial group limit before the shuffle.
+    w = Window.partitionBy(BAG).orderBy(F.desc("__score"), F.asc(S.PLACE_NAME))
     top2 = scores.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 2)
-    top2 = top2.withColumn("__best", F.max("__score").over(Window.partitionBy("input_id")))
-    best = top2.where((F.col("__score") == F.col("__best")) & positive).select("input_id", S.PLACE_NAME, "prob")
-    ids = inputs.select("input_id").distinct()
-    return ids.join(best, "input_id", "left").select("input_id", S.PLACE_NAME, "prob")
+    top2 = top2.withColumn("__best", F.max("__score").over(Window.partitionBy(BAG)))
+    best = top2.where((F.col("__score") == F.col("__best")) & positive).select(BAG, S.PLACE_NAME, "prob")
+    ids = _bags(inputs).distinct()
+    return ids.join(best, BAG, "left").select("input_id", S.PLACE_NAME, "prob")

@@ -1,46 +1,24 @@
-"""Join helpers: size-checked broadcast, stopword removal (anti join), vocabulary restriction (semi join)."""
+"""Stopword removal (anti join) and vocabulary restriction (semi join).
+
+No side is marked for broadcast here: the planner does that from sizes in bytes, and AQE from what it measures. On token
+streams the join must not be followed by a grouping on the same word (Spark would reuse the join's partitioning, and all
+rows of a frequent word would meet in one task): the analyses count first, which combines a frequent word
+to one row per task and key, and join the counted rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is shipped whole to every executor. One million short words is a few tens of MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows: ``limit(max_rows + 1).count()`` stops reading once the bound
-    is exceeded and brings one number to the driver, never the rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows; otherwise leave it to a shuffle join.
-
-    The check runs ``df.limit(max_rows + 1).count()``: it stops reading once the bound is exceeded and brings
-    one number to the driver, never the rows. Beyond the bound the join stays a shuffle (sort-merge) join, and
-    AQE may still switch it to a broadcast from runtime statistics.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def drop_stopwords(words: DataFrame, stopwords: DataFrame, word_col: str = "word",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Remove rows whose ``word_col`` is a stopword (left anti join; duplicates on the left are kept).
 
-    Apply it before counting so the most frequent tokens never reach the aggregation shuffle. Duplicates in
-    ``stopwords`` do not change an anti join, so the list is used as given (no extra shuffle to de-duplicate).
-    """
-    sw = stopwords.select(F.col(stopwords.columns[0]).alias("__sw"))
-    sw = broadcast_if_small(sw, max_broadcast_rows)
-    return words.join(sw, F.col(word_col) == F.col("__sw"), "left_anti")
+def drop_stopwords(words: DataFrame, stopwords: DataFrame, word_col: str = "word") -> DataFrame:
+    """Rows whose ``word_col`` is no stopword (left anti join: duplicates on the left stay, those in the list don't matter)."""
+    listed = stopwords.select(F.col(stopwords.columns[0]).alias("__sw"))
+    return words.join(listed, F.col(word_col) == F.col("__sw"), "left_anti")
 
 
-def keep_vocabulary(words: DataFrame, vocabulary: DataFrame, word_col: str = "word",
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Keep rows whose ``word_col`` occurs in ``vocabulary`` (left semi join; duplicates in ``vocabulary`` do not
-    change the result)."""
-    vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("__vw"))
-    vocab = broadcast_if_small(vocab, max_broadcast_rows)
-    return words.join(vocab, F.col(word_col) == F.col("__vw"), "left_semi")
+def keep_vocabulary(words: DataFrame, vocabulary: DataFrame, word_col: str = "word") -> DataFrame:
+    """Rows whose ``word_col`` occurs in ``vocabulary`` (left semi join: duplicates in it don't matter)."""
+    listed = vocabulary.select(F.col(vocabulary.columns[0]).alias("__vw"))
+    return words.join(listed, F.col(word_col) == F.col("__vw"), "left_semi")

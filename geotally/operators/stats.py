@@ -41,10 +41,12 @@ def bound_columns() -> list[Column]:
     ]
 
 
-def text_length_columns() -> list[Column]:
+def text_length_columns(m: DataFrame) -> list[Column]:
+    """Averages over ``text_chars`` and ``text_words`` if the source has measured them, else over the texts."""
+    measured = {S.TEXT_CHARS, S.TEXT_WORDS} <= set(m.columns)
     return [
-        F.avg(char_length(S.TEXT)).alias("avg_chars"),
-        F.avg(word_count(S.TEXT)).alias("avg_words"),
+        F.avg(F.col(S.TEXT_CHARS) if measured else char_length(S.TEXT)).alias("avg_chars"),
+        F.avg(F.col(S.TEXT_WORDS) if measured else word_count(S.TEXT)).alias("avg_words"),
     ]
 
 
@@ -60,13 +62,13 @@ def bounds(m: DataFrame) -> DataFrame:
 
 def text_lengths(m: DataFrame) -> DataFrame:
     """One row: average text length in characters and in single-space words."""
-    return m.agg(*text_length_columns())
+    return m.agg(*text_length_columns(m))
 
 
 def profile(m: DataFrame, approx: bool = False) -> DataFrame:
     """One row with all eleven measures of the data set, computed in a single scan and aggregate."""
     return m.agg(F.count(F.lit(1)).alias("n_messages"), *distinct_count_columns(approx=approx),
-                 *bound_columns(), *text_length_columns())
+                 *bound_columns(), *text_length_columns(m))
 
 
 # Report labels of the eleven profile measures, in report order.
@@ -137,8 +139,15 @@ def local_hours(m: DataFrame) -> DataFrame:
                     local_hour(S.UTC_TIME, S.TIMEZONE_OFFSET).alias("hour"))
 
 
+def count_by_local_hour(m: DataFrame, key: str = S.COUNTRY_NAME) -> DataFrame:
+    """Messages per (key, local hour); messages without a time count under a NULL hour."""
+    hour = local_hour(S.UTC_TIME, S.TIMEZONE_OFFSET)
+    return m.select(key, hour.alias("hour")).groupBy(key, "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
 def peak_local_hour(m: DataFrame, key: str = S.COUNTRY_NAME) -> DataFrame:
-    """Per key, the local hour with the most messages and that count; ties go to the lower hour.
+    """Per key, the local hour with the most messages and that count; ties go to the lower hour. A key none of whose
+    messages has a time gets a NULL hour and a count of 0.
 
     One aggregate with 24 conditional counts per key: the mappers pre-aggregate to 24 numbers per key, one hash
     exchange on the key, and the arg-max is an array expression on the final row. No second shuffle and no
@@ -150,6 +159,6 @@ def peak_local_hour(m: DataFrame, key: str = S.COUNTRY_NAME) -> DataFrame:
     best = F.array_max("by_hour")
     return per_hour.select(
         key,
-        (F.array_position("by_hour", best) - 1).cast("int").alias("hour"),
+        F.when(best > 0, F.array_position("by_hour", best) - 1).cast("int").alias("hour"),
         best.alias("n"),
     )

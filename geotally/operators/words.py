@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.fmt import escape
 from ..functions.text import FIELD_SEP, tokens
 from .joins import drop_stopwords
 from .stats import count_by
@@ -17,8 +18,8 @@ def word_tokens(m: DataFrame, keep: Sequence[str] = (), longer_than: int = 2) ->
     """One row per kept token (``keep`` columns + ``word``): tokens longer than ``longer_than`` characters,
     measured before lower-casing, then lower-cased. Repeated words of a message stay repeated.
 
-    Explode, filter and lower are plain expressions, so the whole chain stays in generated code (the array
-    form ``functions.long_words`` uses lambdas, which are interpreted per element).
+    Explode, filter and lower are plain expressions, so the whole chain stays in generated code (lambdas over the
+    array would be interpreted per element).
     """
     toks = m.select(*keep, F.explode(tokens(S.TEXT)).alias("word"))
     return toks.where(F.length("word") > F.lit(longer_than)).select(*keep, F.lower("word").alias("word"))
@@ -34,12 +35,12 @@ def word_counts(m: DataFrame, stopwords: DataFrame, country_code: str | None = "
     """Frequency of each word (``word``, ``n``) in the messages of one country code, stopwords removed,
     ranked by frequency then word.
 
-    Stopwords are dropped on the token stream, before the aggregation: the commonest tokens never enter the
-    shuffle, and the partial aggregate collapses a hot word to one row per map task.
+    Words are counted first, stopwords included, and the counted rows are joined: the partial aggregate collapses
+    a hot word to one row per map task, so that no task ever holds its raw rows, however the join is planned.
     """
     sel = m if country_code is None else m.where(F.col(S.COUNTRY_CODE) == country_code)
-    out = content_words(sel, stopwords, longer_than=longer_than).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"))
+    counts = word_tokens(sel, longer_than=longer_than).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    out = drop_stopwords(counts, stopwords)
     return out.orderBy(F.desc("n"), F.asc("word")) if ordered else out
 
 
@@ -64,23 +65,29 @@ def top_groups(m: DataFrame, key: str = S.PLACE_NAME, top: int = 5, country_code
 
 def top_words_in_top_groups(m: DataFrame, stopwords: DataFrame, key: str = S.PLACE_NAME, top_groups_n: int = 5,
                             top_words_n: int = 10, country_code: str | None = "US",
-                            place_type: str | None = "city", longer_than: int = 2) -> DataFrame:
+                            place_type: str | None = "city", longer_than: int = 2,
+                            messages_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """For the ``top_groups_n`` busiest keys, their ``top_words_n`` most frequent content words.
 
     Columns ``key, place_n, r, word, n``; exactly ``top_words_n`` rows per key when it has that many words,
     ordered by ``place_n`` descending, key, rank. Word ties are broken by the word.
 
+    ``messages_of(top)`` may give the messages of the top keys (columns ``key``, ``place_n``) from a source that filters
+    before its own joins; by default ``m`` is joined with them.
+
     Plan: the top keys are a bounded side (``top_groups_n`` rows), so they are broadcast to filter the messages
-    without a shuffle. Words are counted per (key, word), so one hot key spreads over many reducers. The
+    without a shuffle. Words are counted per (key, word), so one hot key spreads over many reducers, and stopwords leave
+    the counted rows. The
     ranking window runs with a partial group limit before its exchange (WindowGroupLimit), so each map task
     forwards at most ``top_words_n`` rows per key.
     """
     sel = _place_filter(m, country_code, place_type)
     top = top_groups(m, key, top_groups_n, country_code, place_type)
     # Broadcast is safe: ``top`` has at most top_groups_n rows by construction.
-    msgs = sel.join(F.broadcast(top), key)
-    toks = content_words(msgs, stopwords, keep=(key, "place_n"), longer_than=longer_than)
-    counts = toks.groupBy(key, "place_n", "word").agg(F.count(F.lit(1)).alias("n"))
+    msgs = (_place_filter(messages_of(top), country_code, place_type) if messages_of
+            else sel.join(F.broadcast(top), key))
+    toks = word_tokens(msgs, keep=(key, "place_n"), longer_than=longer_than)
+    counts = drop_stopwords(toks.groupBy(key, "place_n", "word").agg(F.count(F.lit(1)).alias("n")), stopwords)
     w = Window.partitionBy(key).orderBy(F.desc("n"), F.asc("word"))
     ranked = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= top_words_n)
     return ranked.select(key, "place_n", "r", "word", "n").orderBy(F.desc("place_n"), F.asc(key), F.asc("r"))
@@ -88,10 +95,10 @@ def top_words_in_top_groups(m: DataFrame, stopwords: DataFrame, key: str = S.PLA
 
 def wide_lines(top_words: DataFrame, key: str = S.PLACE_NAME) -> DataFrame:
     """One text line per key: ``key<TAB>w1<TAB>n1<TAB>...<TAB>wN<TAB>nN<TAB>`` (trailing tab), words in rank
-    order; columns ``key, place_n, line`` ordered by ``place_n`` descending. Each group holds at most N rows."""
+    order; columns ``key, place_n, line`` (tabs and line breaks escaped) ordered by ``place_n`` descending. Each group holds at most N rows."""
     cells = F.transform(
         F.sort_array(F.collect_list(F.struct("r", "word", "n"))),
-        lambda x: F.concat(x["word"], F.lit(FIELD_SEP), x["n"].cast("string"), F.lit(FIELD_SEP)))
+        lambda x: F.concat(escape(x["word"]), F.lit(FIELD_SEP), x["n"].cast("string"), F.lit(FIELD_SEP)))
     out = top_words.groupBy(key, "place_n").agg(
-        F.concat(F.col(key), F.lit(FIELD_SEP), F.array_join(cells, "")).alias("line"))
+        F.concat(escape(F.col(key)), F.lit(FIELD_SEP), F.array_join(cells, "")).alias("line"))
     return out.orderBy(F.desc("place_n"), F.asc(key))

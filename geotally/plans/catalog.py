@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schema as S
 from ..operators import bayes, stats, words
 from ..sources.tables import inputs_from_benchmark, messages_from_tables
-from ..sources.tsv import stable_sample
+from ..sources.sinks import tsv_lines
+from ..sources.tsv import NULL_FIELD, SAMPLE_FIELDS, SAMPLE_FRACTION, parse_lines, sample_limit, stable_sample
 from ..sources.words import word_list
 
 # Parameters of the registered queries (the message binding maps language codes to upper-case country codes).
@@ -24,6 +25,7 @@ MIN_COUNT = 40
 CENTROID_DIGITS = 6
 TOP_PLACES = 5
 TOP_WORDS = 10
+SAMPLE_SEED = 5
 # The stopword list used by the registered queries.
 STOPWORDS = ("the", "and", "that", "for", "was", "with", "this", "are", "from")
 
@@ -34,6 +36,22 @@ def _m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from_tables(spark, sf_dir)
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_from_tables(spark, sf_dir, measures=True)
+
+
+def _top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.top_words_in_top_groups(
+        _m(spark, sf_dir), _stopwords(spark), S.PLACE_NAME, TOP_PLACES, TOP_WORDS, COUNTRY_CODE, PLACE_TYPE,
+        messages_of=lambda top: messages_from_tables(spark, sf_dir, top=top))
+
+
+def _round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as an escaped line, and the line read back."""
+    lines = _m(spark, sf_dir)
+    return parse_lines(lines.select(tsv_lines(lines, null=NULL_FIELD).alias("value")), "null", escaped=True)
+
+
 def _stopwords(spark: SparkSession) -> DataFrame:
     return word_list(spark, STOPWORDS)
 
@@ -51,15 +69,17 @@ def _batch_model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
 def queries() -> dict[str, Query]:
     return {
         "messages": lambda spark, d: _m(spark, d),
-        "profile": lambda spark, d: stats.profile(_m(spark, d)),
-        "profile_report": lambda spark, d: stats.profile_report(_m(spark, d)),
+        "profile": lambda spark, d: stats.profile(_measured(spark, d)),
+        "profile_report": lambda spark, d: stats.profile_report(_measured(spark, d)),
         "distinct_values": lambda spark, d: stats.distinct_values(_m(spark, d)),
         "bounds": lambda spark, d: stats.bounds(_m(spark, d)),
-        "text_lengths": lambda spark, d: stats.text_lengths(_m(spark, d)),
+        "text_lengths": lambda spark, d: stats.text_lengths(_measured(spark, d)),
         "count_by_country": lambda spark, d: stats.count_by(_m(spark, d), S.COUNTRY_NAME),
         "centroid_by_country": lambda spark, d: stats.centroid_by(
             _m(spark, d), S.COUNTRY_NAME, min_count=MIN_COUNT, digits=CENTROID_DIGITS),
         "local_hours": lambda spark, d: stats.local_hours(_m(spark, d)),
+        "count_by_country_hour": lambda spark, d: stats.count_by_local_hour(_m(spark, d), S.COUNTRY_NAME),
+        "tsv_round_trip": _round_trip,
         "peak_local_hour": lambda spark, d: stats.peak_local_hour(_m(spark, d), S.COUNTRY_NAME),
         "count_by_city": lambda spark, d: stats.filtered_count_by(
             _m(spark, d), S.PLACE_NAME, COUNTRY_CODE, PLACE_TYPE),
@@ -71,10 +91,8 @@ def queries() -> dict[str, Query]:
             _m(spark, d), _stopwords(spark), country_code=COUNTRY_CODE),
         "top_places": lambda spark, d: words.top_groups(
             _m(spark, d), S.PLACE_NAME, TOP_PLACES, COUNTRY_CODE, PLACE_TYPE),
-        "top_words_in_top_places": lambda spark, d: words.top_words_in_top_groups(
-            _m(spark, d), _stopwords(spark), S.PLACE_NAME, TOP_PLACES, TOP_WORDS, COUNTRY_CODE, PLACE_TYPE),
-        "top_words_lines": lambda spark, d: words.wide_lines(words.top_words_in_top_groups(
-            _m(spark, d), _stopwords(spark), S.PLACE_NAME, TOP_PLACES, TOP_WORDS, COUNTRY_CODE, PLACE_TYPE)),
+        "top_words_in_top_places": _top_words,
+        "top_words_lines": lambda spark, d: words.wide_lines(_top_words(spark, d)),
         "input_words": lambda spark, d: bayes.input_words(inputs_from_benchmark(spark, d)),
         "class_counts": lambda spark, d: _model(spark, d).class_counts,
         "term_counts": lambda spark, d: _model(spark, d).term_counts,
@@ -87,7 +105,7 @@ def queries() -> dict[str, Query]:
         "predict_place_full_model": lambda spark, d: bayes.predict_place(
             _model(spark, d).materialize("full-place-model"), inputs_from_benchmark(spark, d)),
         "sample": lambda spark, d: _m(spark, d).sample(False, 0.01, seed=5),
-        "sample_stable": lambda spark, d: stable_sample(_m(spark, d), 0.01, seed=5),
+        "sample_stable": lambda spark, d: stable_sample(_m(spark, d), SAMPLE_FRACTION, SAMPLE_SEED),
     }
 
 
@@ -119,6 +137,9 @@ messages AS (
 _SW = ", ".join(f"('{w}')" for w in STOPWORDS)
 STOPWORDS_CTE = f"stopwords(word) AS (VALUES {_SW})"
 
+# A text field as the sinks write it.
+ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), chr(9), '\t'), chr(10), '\n'), chr(13), '\r')"
+
 HOUR_SQL = "CAST((((utc_time // 1000 + timezone_offset) % 86400 + 86400) % 86400) // 3600 AS INTEGER)"
 
 # Tokens longer than two characters (length before lower-casing), lower-cased, of one country's messages.
@@ -264,6 +285,12 @@ SELECT country_name, count(*) AS n,
 FROM messages GROUP BY country_name HAVING count(*) > {MIN_COUNT}""",
         "local_hours": w(MESSAGES_CTE) + f"""
 SELECT utc_time, timezone_offset, {HOUR_SQL} AS hour FROM messages""",
+        "count_by_country_hour": w(MESSAGES_CTE) + f"""
+SELECT country_name, {HOUR_SQL} AS hour, count(*) AS n FROM messages GROUP BY ALL""",
+        "tsv_round_trip": w(MESSAGES_CTE) + "SELECT * FROM messages",
+        "sample_stable": w(MESSAGES_CTE) + f"""
+SELECT * FROM messages
+WHERE substr(md5(concat_ws('|', '{SAMPLE_SEED}', {", ".join(SAMPLE_FIELDS)})), 1, 15) < '{sample_limit(SAMPLE_FRACTION)}'""",
         "peak_local_hour": w(MESSAGES_CTE) + f""",
 hourly AS (SELECT country_name, {HOUR_SQL} AS hour, count(*) AS n FROM messages GROUP BY ALL)
 SELECT country_name, hour, n FROM (
@@ -283,9 +310,10 @@ GROUP BY word ORDER BY n DESC, word""",
         "top_places": w(MESSAGES_CTE, TOP_PLACES_CTE) + "SELECT place_name, place_n FROM top_places",
         "top_words_in_top_places": w(MESSAGES_CTE, STOPWORDS_CTE, TOP_PLACES_CTE, TOP_WORDS_CTE) + """
 SELECT place_name, place_n, r, word, n FROM top_words""",
-        "top_words_lines": w(MESSAGES_CTE, STOPWORDS_CTE, TOP_PLACES_CTE, TOP_WORDS_CTE) + """
+        "top_words_lines": w(MESSAGES_CTE, STOPWORDS_CTE, TOP_PLACES_CTE, TOP_WORDS_CTE) + f"""
 SELECT place_name, place_n,
-       place_name || chr(9) || string_agg(word || chr(9) || CAST(n AS VARCHAR) || chr(9), '' ORDER BY r) AS line
+       {ESCAPED.format("place_name")} || chr(9) ||
+       string_agg({ESCAPED.format("word")} || chr(9) || CAST(n AS VARCHAR) || chr(9), '' ORDER BY r) AS line
 FROM top_words GROUP BY place_name, place_n""",
         "input_words": w(INPUTS_CTE) + "SELECT input_id, CAST(pos AS INTEGER) AS pos, word FROM input_words",
         "class_counts": w(MESSAGES_CTE, MODEL_CTE) + "SELECT place_name, tc FROM class_counts",

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.text import FIELD_SEP
 from ..operators import bayes, stats, words
+from ..session import materialize, written_table
 from ..sources import sinks, tsv
 from ..sources.words import read_stopwords, word_list
 
@@ -79,36 +80,43 @@ def write_top_words(m: DataFrame, stopwords: DataFrame, out: str, top_places: in
 
 def run_analyses(spark: SparkSession, messages: DataFrame, out_dir: str, stopwords: DataFrame | None = None,
                  country_code: str = "US", mode: str = "errorifexists") -> None:
-    """All descriptive analyses into ``out_dir/result_<n>``; each is its own job over the same input."""
+    """All descriptive analyses into ``out_dir/result_<n>``.
+
+    The input is read and parsed once, into a typed table in the shared folder; each analysis then reads only its
+    columns of that table, which is dropped at the end.
+    """
     sw = stopwords if stopwords is not None else word_list(spark, [])
     base = out_dir.rstrip("/")
-    write_profile(messages, f"{base}/result_1", mode)
-    write_count_by(messages, S.COUNTRY_NAME, f"{base}/result_2", mode)
-    write_centroids(messages, f"{base}/result_3", mode=mode)
-    write_peak_hours(messages, f"{base}/result_4", mode=mode)
-    write_city_counts(messages, f"{base}/result_5", country_code, mode=mode)
-    write_word_counts(messages, sw, f"{base}/result_6", country_code, mode=mode)
-    write_top_words(messages, sw, f"{base}/result_7", country_code=country_code, mode=mode)
-    sinks.write_tsv(stats.profile(messages), f"{base}/result_8", single_file=True, mode=mode)
+    with written_table(messages, "messages") as m:
+        write_profile(m, f"{base}/result_1", mode)
+        write_count_by(m, S.COUNTRY_NAME, f"{base}/result_2", mode)
+        write_centroids(m, f"{base}/result_3", mode=mode)
+        write_peak_hours(m, f"{base}/result_4", mode=mode)
+        write_city_counts(m, f"{base}/result_5", country_code, mode=mode)
+        write_word_counts(m, sw, f"{base}/result_6", country_code, mode=mode)
+        write_top_words(m, sw, f"{base}/result_7", country_code=country_code, mode=mode)
+        sinks.write_tsv(stats.profile(m), f"{base}/result_8", single_file=True, mode=mode)
 
 
 def predict_files(spark: SparkSession, training: str, inputs: str, output: str, sample: bool | float = False,
                   seed: int | None = None, training_format: str = "tsv", full_model: str | None = None,
-                  mode: str = "errorifexists") -> DataFrame:
-    """Fit on ``training``, predict a place for every line of ``inputs``, write one line per input.
+                  mode: str = "errorifexists", with_text: bool = True) -> DataFrame:
+    """Fit on ``training``, predict a place for every line of ``inputs``, write one line per input: the input's text and
+    its answer, or the bare answer if ``with_text`` is off (for a single input).
 
     With ``full_model`` (a directory written by ``PlaceModel.save``) the stored model is used; otherwise a
     model restricted to the inputs' words is fitted and written once to the shared checkpoint folder.
     Returns the (lazy) predictions DataFrame; evaluating it again recomputes from the written model.
     """
-    ins = tsv.read_inputs(spark, inputs)
+    # Written once: every later use sees the same numbering of the lines.
+    ins = materialize(tsv.read_inputs(spark, inputs), "inputs")
     if full_model:
         model = bayes.PlaceModel.load(spark, full_model)
     else:
         m = load_messages(spark, training, training_format, sample=sample, seed=seed)
         model = bayes.fit_and_write_place_model(m, vocabulary=bayes.input_vocabulary(ins), name="predict-model")
     pred = bayes.predict_place(model, ins)
-    sinks.write_predictions(pred, output, mode=mode)
+    sinks.write_predictions(pred, output, mode=mode, inputs=ins if with_text else None)
     return pred
 
 

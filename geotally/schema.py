@@ -37,13 +37,6 @@ MESSAGE_SCHEMA = T.StructType([
 
 MESSAGE_COLUMNS = [f.name for f in MESSAGE_SCHEMA.fields]
 
-INPUT_SCHEMA = T.StructType([
-    T.StructField("input_id", T.LongType()),
-    T.StructField("text", T.StringType()),
-])
-
-PREDICTION_SCHEMA = T.StructType([
-    T.StructField("input_id", T.LongType()),
-    T.StructField(PLACE_NAME, T.StringType()),
-    T.StructField("prob", T.DoubleType()),
-])
+# Lengths of the text in characters and in single-space words, where a source takes them at its scan.
+TEXT_CHARS = "text_chars"
+TEXT_WORDS = "text_words"

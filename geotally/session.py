@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +25,21 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "geotally",
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None, app: str = "geotally",
                   extra: dict[str, str] | None = None) -> SparkSession:
+    """A session with ``SCALE_CONF``. Without ``shuffle_partitions`` a local session gets eight and any other the
+    cluster's own setting. No checkpoint folder is needed until a table is written there."""
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 8
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(SCALE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -62,15 +68,35 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or target
 
 
+def _write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    # The schema is known: reading with it skips the footer-inference job.
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     This cuts the lineage: if an executor is lost later, the recomputation starts from the written files, not
-    from the raw input. The written table is reusable (column pruning and filter pushdown apply on re-read).
+    from the raw input. The written table is reusable (column pruning and filter pushdown apply on re-read). It stays
+    as long as the folder does, since a lazy result may still read it; ``written_table`` drops its table.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    # The schema is known: reading with it skips the footer-inference job.
-    return spark.read.schema(df.schema).parquet(path)
+    return _write_table(df, name)[0]
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table through the folder's own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def written_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block; the table is dropped at its end."""
+    table, path = _write_table(df, name)
+    try:
+        yield table
+    finally:
+        drop_table(df.sparkSession, path)

@@ -3,6 +3,9 @@
 Large results are written as ordered part files (a global sort gives range-partitioned, sorted parts whose names
 follow the order). ``single_file=True`` is for small results only: one task writes one sorted part file.
 Default mode ``errorifexists`` refuses to overwrite an existing result directory.
+
+A row is always one line and a field never spills into the next: backslash, tab, line feed, carriage return and NUL
+inside a field are written as ``\\\\``, ``\\t``, ``\\n``, ``\\r`` and ``\\0``. ``tsv.parse_lines(..., escaped=True)`` undoes that.
 """
 
 from __future__ import annotations
@@ -13,20 +16,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fmt import py_float
+from ..functions.fmt import escape, py_float
 from ..functions.text import FIELD_SEP
 
 
-def render(df: DataFrame, col: str) -> Column:
-    """A field as text: doubles as Python renders them, NULL as the empty string, everything else cast."""
+def render(df: DataFrame, col: str, null: str = "") -> Column:
+    """A field as text: doubles as Python renders them, NULL as ``null``, everything else cast; texts escaped."""
     dtype = df.schema[col].dataType
-    value = py_float(col) if isinstance(dtype, (T.DoubleType, T.FloatType)) else F.col(col).cast("string")
-    return F.coalesce(value, F.lit(""))
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        value = py_float(col)
+    else:
+        value = F.col(col).cast("string")
+        value = escape(value) if isinstance(dtype, T.StringType) else value
+    return F.coalesce(value, F.lit(null))
 
 
-def tsv_lines(df: DataFrame, columns: Sequence[str] | None = None, trailing_tab: bool = False) -> Column:
+def tsv_lines(df: DataFrame, columns: Sequence[str] | None = None, trailing_tab: bool = False,
+              null: str = "") -> Column:
     cols = list(columns or df.columns)
-    line = F.concat_ws(FIELD_SEP, *[render(df, c) for c in cols])
+    line = F.concat_ws(FIELD_SEP, *[render(df, c, null) for c in cols])
     return F.concat(line, F.lit(FIELD_SEP)) if trailing_tab else line
 
 
@@ -57,7 +65,7 @@ def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
 def prediction_lines(predictions: DataFrame) -> DataFrame:
     """``(input_id, line)``: per input ``place<TAB>prob<TAB>`` for each chosen place (two on a tie, by name), or
     ``<TAB><TAB>`` when nothing matched. Each input holds at most two rows, so the grouping is bounded."""
-    cell = F.concat(F.coalesce(F.col("place_name"), F.lit("")), F.lit(FIELD_SEP),
+    cell = F.concat(F.coalesce(escape(F.col("place_name")), F.lit("")), F.lit(FIELD_SEP),
                     F.coalesce(py_float("prob"), F.lit("")), F.lit(FIELD_SEP))
     cells = F.sort_array(F.collect_list(F.struct(F.col("place_name").alias("p"), cell.alias("c"))))
     return predictions.groupBy("input_id").agg(
@@ -65,8 +73,14 @@ def prediction_lines(predictions: DataFrame) -> DataFrame:
 
 
 def write_predictions(predictions: DataFrame, path: str, single_file: bool = False,
-                      mode: str = "errorifexists") -> None:
+                      mode: str = "errorifexists", inputs: DataFrame | None = None) -> None:
     """One line per input, in input order (see ``prediction_lines``): range-partitioned, ordered part files, so
-    a large batch of inputs is written by many tasks; ``single_file=True`` only for small batches."""
+    a large batch of inputs is written by many tasks; ``single_file=True`` only for small batches.
+
+    With ``inputs`` every line begins with the (escaped) text of the input that it answers; without, the bare line is
+    for a single input."""
     lines = prediction_lines(predictions)
+    if inputs is not None:
+        lines = lines.join(inputs.select("input_id", F.coalesce(escape(F.col("text")), F.lit("")).alias("__text")), "input_id")
+        lines = lines.withColumn("line", F.concat("__text", F.lit(FIELD_SEP), "line"))
     write_lines(lines, F.col("line"), path, order_by=["input_id"], single_file=single_file, mode=mode)

@@ -11,13 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.text import char_length, word_count
 from ..functions.time import epoch_millis
-from ..operators.joins import broadcast_if_small, fits_broadcast
-
-NATION_BROADCAST_ROWS = 100_000
-# Up to this many events (a few tens of MB of narrow rows) are broadcast to the documents.
-EVENTS_BROADCAST_ROWS = 1_000_000
-
 
 # Stored types of the columns this binding reads. Declaring them skips schema inference (a job
 # per read) and reads only these columns.
@@ -37,31 +32,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 13-column message table derived from ``documents``, ``events``, ``customer`` and ``nation``."""
-    # Hash-partition documents on the join key. At scale the documents/events join is a sort-merge join that
-    # needs exactly this exchange (Spark reuses it, no second shuffle); when events is small enough to broadcast,
-    # it spreads the text work over all cores even if the document files have few row groups.
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition("doc_id")
+def messages_from_tables(spark: SparkSession, sf_dir: str, top: DataFrame | None = None,
+                         measures: bool = False) -> DataFrame:
+    """The 13-column message table derived from ``documents``, ``events``, ``customer`` and ``nation``.
+
+    One join order for all sizes: the narrow per-event attributes are joined first and the wide documents last, so
+    a text is shuffled once at most. Which joins are broadcasts is left to the planner's sizes and AQE.
+
+    ``measures`` adds ``text_chars`` and ``text_words``, taken where the documents are scanned: an analysis of lengths
+    then shuffles two numbers per document instead of its text. ``top`` (at most a few rows: place name and further
+    columns, as from ``words.top_groups``) keeps only those places' messages, also before the join, and adds its columns.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    extra = []
+    if measures:
+        docs = docs.withColumns({S.TEXT_CHARS: char_length("text"), S.TEXT_WORDS: word_count("text")})
+        extra += [S.TEXT_CHARS, S.TEXT_WORDS]
+    if top is not None:
+        # Bounded by its limit, hence safe to broadcast.
+        docs = docs.join(F.broadcast(top.withColumnRenamed(S.PLACE_NAME, "source")), "source")
+        extra += [c for c in top.columns if c != S.PLACE_NAME]
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    # nation has a handful of keys: a shuffle join on it would put 1/25 of all messages into each of 25 tasks.
-    # It is broadcast after a bounded row-count check. customer is left to the planner (a broadcast while small,
-    # a sort-merge join at scale with AQE splitting a hot user_id).
-    nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                                NATION_BROADCAST_ROWS)
-    if fits_broadcast(events, EVENTS_BROADCAST_ROWS):
-        # Small events table (checked): documents stream through broadcast lookups in one stage.
-        joined = (docs.join(F.broadcast(events), docs.doc_id == events.event_id)
-                  .join(customer, events.user_id == customer.c_custkey)
-                  .join(nation, customer.c_nationkey == nation.n_nationkey))
-    else:
-        # Large: join the narrow per-event attributes (events ⋈ customer ⋈ nation) first and the wide documents
-        # last, so the text is shuffled exactly once (on doc_id) instead of again for the user_id join.
-        per_event = (events.join(customer, events.user_id == customer.c_custkey)
-                     .join(nation, customer.c_nationkey == nation.n_nationkey))
-        joined = docs.join(per_event, docs.doc_id == per_event.event_id)
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # nation's few keys meet the customers only, never the events or the messages.
+    owners = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    per_event = events.join(owners, events.user_id == owners.c_custkey)
+    joined = docs.join(per_event, docs.doc_id == per_event.event_id)
     return joined.select(
         epoch_millis("ts").alias(S.UTC_TIME),
         F.col("n_name").alias(S.COUNTRY_NAME),
@@ -76,6 +74,7 @@ def messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias(S.TEXT),
         (F.col("c_acctbal") / 120).alias(S.LATITUDE),
         F.col("value").alias(S.LONGITUDE),
+        *extra,
     )
 
 

@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..functions.fmt import unescape
 from ..functions.text import FIELD_SEP
 
 ON_BAD = ("fail", "null", "quarantine")
+# Fixed value: NULL in an escaped line.
+NULL_FIELD = "\\N"
 SAMPLE_FRACTION = 0.01
 
 
@@ -34,9 +37,9 @@ def _field(fields: Column, i: int, strict: bool) -> Column:
     return F.when(n > F.lit(i), fields.getItem(i))
 
 
-def _typed(raw: Column, dtype: T.DataType, name: str, strict: bool) -> Column:
+def _typed(raw: Column, dtype: T.DataType, name: str, strict: bool, escaped: bool = False) -> Column:
     if isinstance(dtype, T.StringType):
-        return raw
+        return F.when(raw != NULL_FIELD, unescape(raw)) if escaped else raw
     value = raw.try_cast(dtype)
     if strict:
         return F.when(raw.isNotNull() & value.isNull(), F.raise_error(
@@ -44,18 +47,22 @@ def _typed(raw: Column, dtype: T.DataType, name: str, strict: bool) -> Column:
     return value
 
 
-def parse_lines(lines: DataFrame, on_bad: str = "fail", value_col: str = "value"):
-    """Typed message rows from a one-column DataFrame of raw lines (see module doc for ``on_bad``)."""
+def parse_lines(lines: DataFrame, on_bad: str = "fail", value_col: str = "value", escaped: bool = False):
+    """Typed message rows from a one-column DataFrame of raw lines (see module doc for ``on_bad``).
+
+    ``escaped`` reads lines of this library's own sinks: their escapes are undone, and ``\\N`` is NULL. Lines of
+    other tools hold backslashes as data.
+    """
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {ON_BAD}")
     fields = F.split(F.col(value_col), FIELD_SEP, -1)
     strict = on_bad == "fail"
     if on_bad != "quarantine":
         return lines.select(*[
-            _typed(_field(fields, i, strict), f.dataType, f.name, strict).alias(f.name)
+            _typed(_field(fields, i, strict), f.dataType, f.name, strict, escaped).alias(f.name)
             for i, f in enumerate(S.MESSAGE_SCHEMA.fields)])
     checked = lines.select(F.col(value_col).alias("line"), fields.alias("__f"))
-    cols = [_typed(_field(F.col("__f"), i, False), f.dataType, f.name, False).alias(f.name)
+    cols = [_typed(_field(F.col("__f"), i, False), f.dataType, f.name, False, escaped).alias(f.name)
             for i, f in enumerate(S.MESSAGE_SCHEMA.fields)]
     numeric = [f.name for f in S.MESSAGE_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
     typed = checked.select("line", *cols)
@@ -84,29 +91,46 @@ def read_lines(spark: SparkSession, path: str | list[str], sample: bool | float
 
 
 def read_messages(spark: SparkSession, path: str | list[str], on_bad: str = "fail", sample: bool | float = False,
-                  seed: int | None = None):
+                  seed: int | None = None, escaped: bool = False):
     """Typed messages from tab-separated text files. Returns a DataFrame, or ``(good, bad)`` for quarantine."""
-    return parse_lines(read_lines(spark, path, sample, seed), on_bad)
+    return parse_lines(read_lines(spark, path, sample, seed), on_bad, escaped=escaped)
+
+
+# Fields that render alike in every engine, and of which the sample's hash is taken.
+SAMPLE_FIELDS = (S.UTC_TIME, S.COUNTRY_NAME, S.COUNTRY_CODE, S.PLACE_TYPE, S.PLACE_NAME, S.LANGUAGE, S.USER_SCREEN_NAME,
+                 S.USERNAME, S.TIMEZONE_OFFSET, S.NUMBER_OF_FRIENDS, S.TEXT)
+HEX_DIGITS = 15
+
+
+def sample_limit(fraction: float) -> str:
+    """The hexadecimal number under which the first digits of a kept row's hash lie."""
+    if not 0 < fraction < 1 or fraction * 16**HEX_DIGITS < 1:
+        raise ValueError("fraction must be above 0 (and not too small to keep anything) and below 1")
+    return f"{int(fraction * 16**HEX_DIGITS):0{HEX_DIGITS}x}"
 
 
 def stable_sample(m: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = 5) -> DataFrame:
-    """Row-stable sample: a row is kept iff a hash of all its fields (and the seed) falls under ``fraction``.
+    """Row-stable sample: a row is kept iff the MD5 of the seed and of its integer and text fields (joined by ``|``, NULLs
+    left out) begins below ``fraction``.
 
     Unlike ``DataFrame.sample`` the kept rows do not depend on partitioning or file splits, so a re-run after an
     executor loss, or on a re-laid-out copy of the data, keeps exactly the same rows.
     """
-    buckets = 1_000_000
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in m.columns]), F.lit(buckets))
-    return m.where(h < F.lit(int(round(fraction * buckets))))
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in SAMPLE_FIELDS]))
+    return m.where(F.substring(h, 1, HEX_DIGITS) < F.lit(sample_limit(fraction)))
 
 
 def read_inputs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Prediction inputs ``(input_id, text)``: one input per line, all lines kept.
 
-    ``input_id`` increases with the line order (file order, then position); it is unique but not dense.
+    ``input_id`` increases with the file name, then with the place in the file: lines are sorted by file, by the split's
+    first byte and by their place in the split (Spark deals out splits by size). It is unique but not dense. A later
+    evaluation may number the same lines differently: write the inputs once if they are used more than once.
     """
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("input_id"),
-                                        F.col("value").alias("text"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__at"), F.col("value").alias("text"))
+    return lines.orderBy("__file", "__start", "__at").select(F.monotonically_increasing_id().alias("input_id"), "text")
 
 
 def write_parquet(m: DataFrame, path: str, mode: str = "errorifexists",

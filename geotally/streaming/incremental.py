@@ -2,8 +2,10 @@
 
 The analyses are aggregations of counts, so a stream of new files is handled as *partial counts per
 micro-batch*: each batch is aggregated with the batch operators and appended under ``<dir>/batch_id=<n>``;
-readers sum the partials. No state store grows with the key space, and the sink is exactly-once: a replayed
-batch overwrites its own ``batch_id`` directory (dynamic partition overwrite), never duplicating counts.
+readers sum the partials. No state store grows with the key space, and the sink is exactly-once: the stream's
+progress is kept beside its output (``<dir>/_checkpoint``), so a restart in any session goes on where it stopped, and a
+replayed batch overwrites its own ``batch_id`` directory (dynamic partition overwrite). One folder belongs to one
+stream; a checkpoint folder of one's own must stay with the output folder for as long as that is used.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
 from ..operators import bayes
-from ..session import ensure_checkpoint_dir
 from ..sources.tsv import parse_lines
 
 
@@ -31,10 +32,6 @@ def read_message_stream(spark: SparkSession, path: str, on_bad: str = "null",
     return parse_lines(reader.load(path), on_bad)
 
 
-def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
-    return checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-
-
 def _write_partial(df: DataFrame, batch_id: int, path: str) -> None:
     (df.withColumn("batch_id", F.lit(batch_id))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -50,7 +47,7 @@ def start_running_counts(stream: DataFrame, keys: Sequence[str], out_dir: str, c
         _write_partial(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), batch_id, out_dir)
 
     writer = stream.writeStream.foreachBatch(batch).option(
-        "checkpointLocation", _checkpoint(stream.sparkSession, "counts-" + "-".join(keys), checkpoint))
+        "checkpointLocation", checkpoint or f"{out_dir.rstrip('/')}/_checkpoint")
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -73,7 +70,7 @@ def start_model_updates(stream: DataFrame, model_dir: str, checkpoint: str | Non
         _write_partial(bayes.place_counts(df.select(S.PLACE_NAME, S.TEXT)), batch_id, f"{base}/counts")
 
     writer = stream.writeStream.foreachBatch(batch).option(
-        "checkpointLocation", _checkpoint(stream.sparkSession, "place-model", checkpoint))
+        "checkpointLocation", checkpoint or f"{base}/_checkpoint")
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -28,9 +28,9 @@ def spark():
     session.stop()
 
 
-def message(text, place="NewYork", utc=1446502476064, country="United States", code="US", ptype="city",
-            lang="en", screen="Boston HR Jobs", user="tmj_bos_hr", offset=-18000, friends=300,
-            lat=42.279286, lon=-71.4161565):
+def message(text, place="NewYork", utc=1500000000123, country="United States", code="US", ptype="city",
+            lang="en", screen="Invented Screen", user="invented_user", offset=-18000, friends=17,
+            lat=12.5, lon=-34.25):
     return (utc, country, code, ptype, place, lang, screen, user, offset, friends, text, lat, lon)
 
 
@@ -38,7 +38,7 @@ def messages_df(spark, rows):
     return spark.createDataFrame(rows, S.MESSAGE_SCHEMA)
 
 
-# Training rows of the golden prediction set (place, text); all other columns as in the sample row.
+# Training rows of the golden prediction set (place, text); all other columns are invented.
 GOLDEN_TRAINING = [
     ("NewYork", "empire state building"),
     ("NewYork", "big empire state"),

@@ -13,8 +13,8 @@ from geotally.functions import py_float
 from geotally.plans import jobs
 from geotally.sources import sinks, tsv
 
-SAMPLE_ROW = ["1446502476064", "United States", "US", "city", "NewYork", "en", "Boston HR Jobs", "tmj_bos_hr",
-              "-18000", "300", "empire state building", "42.279286", "-71.4161565"]
+SAMPLE_ROW = ["1500000000123", "United States", "US", "city", "NewYork", "en", "Invented Screen", "invented_user",
+              "-18000", "17", "empire state building", "12.5", "-34.25"]
 
 
 def line(fields):
@@ -47,7 +47,7 @@ def test_quotes_empty_fields_and_extra_fields(spark, tmp_path):
     assert m.schema == S.MESSAGE_SCHEMA
     assert rows[0].tweet_text == 'say "hi" now'
     assert rows[1].username == ""
-    assert rows[2].longitude == -71.4161565 and rows[2].utc_time == 1446502476064
+    assert rows[2].longitude == -34.25 and rows[2].utc_time == 1500000000123
     assert m.agg(F.count_distinct("username")).first()[0] == 2
 
 
@@ -88,6 +88,37 @@ def test_tsv_round_trip(spark, tmp_path):
     assert read_dir(out)[0].split("\t")[12] == "1e-05"
 
 
+def test_fields_that_would_break_a_line_come_back(spark, tmp_path):
+    texts = ["a\nb", "tab\there", "back\\slash", "\\n literal", "\\\\t", "cr\rlf\r\n", "nul\0 \\0", "\\N", "", None, "\\"]
+    rows = [(1, "c", "US", "city", "p", "en", "s", f"u{i}", 0, 1, t, None if i else 0.1, -1e-07) for i, t in enumerate(texts)]
+    m = spark.createDataFrame(rows, S.MESSAGE_SCHEMA)
+    out = str(tmp_path / "out")
+    sinks.write_lines(m, sinks.tsv_lines(m, null=tsv.NULL_FIELD), out, ["username"], single_file=True)
+    assert len(read_dir(out)) == len(texts)
+    back = tsv.read_messages(spark, out, on_bad="null", escaped=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_inputs_follow_files_and_lines_for_any_splits(spark, tmp_path):
+    folder = tmp_path / "inputs"
+    folder.mkdir()
+    files = {"a.txt": ["first"], "b.txt": [f"b{i:04d} " + "x" * 40 for i in range(300)], "c.txt": ["c0", "", "c2"]}
+    for name, lines in files.items():
+        write_text(folder / name, lines)
+    expected = [x for name in sorted(files) for x in files[name]]
+    conf = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "10"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = tsv.read_inputs(spark, str(folder))
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 3
+        assert [r.text for r in sorted(got.collect(), key=lambda r: r.input_id)] == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_sample_is_about_one_percent(spark, tmp_path):
     p = tmp_path / "m.tsv"
     write_text(p, [line(SAMPLE_ROW)] * 5000)
@@ -95,6 +126,9 @@ def test_sample_is_about_one_percent(spark, tmp_path):
     assert 10 < n < 110
     m = tsv.read_messages(spark, str(p))
     assert tsv.stable_sample(m, 0.5).count() in (0, 5000)  # identical rows hash alike
+    for fraction in (0, 1e-20, 1, 2):
+        with pytest.raises(ValueError):
+            tsv.stable_sample(m, fraction)
 
 
 def test_py_float_matches_python(spark):
@@ -119,8 +153,11 @@ def test_predict_files_golden(spark, tmp_path):
     expected = ["NewYork\t0.6\t", "NewYork\t0.19999999999999998\t", "London\t0.025\t",
                 "NewYork\t0.13333333333333333\t", "\t\t"]
     out = str(tmp_path / "out")
-    jobs.predict_files(spark, str(training), str(inputs), out)
+    jobs.predict_files(spark, str(training), str(inputs), out, with_text=False)
     assert read_dir(out) == expected
+    jobs.predict_files(spark, str(training), str(inputs), out + "2")
+    texts = inputs.read_text(encoding="utf-8").split("\n")
+    assert read_dir(out + "2") == [f"{t}\t{e}" for t, e in zip(texts, expected, strict=True)]
 
 
 def test_run_analyses_writes_every_result(spark, tmp_path):

@@ -3,41 +3,41 @@ and identical results for 1, 4 and 64 shuffle partitions."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
+from geotally.plans import catalog
 
 
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_eval_and_no_cartesian(spark, name):
-    plan = plan_text(E.queries()[name](spark, SF001))
+    plan = plan_text(catalog.queries()[name](spark, SF001))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
                 "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
         assert bad not in plan, f"{name}: {bad}"
 
 
 def test_count_by_country_prunes_text(spark):
-    plan = plan_text(E.queries()["count_by_country"](spark, SF001))
+    plan = plan_text(catalog.queries()["count_by_country"](spark, SF001))
     doc_scans = [ln for ln in plan.splitlines() if "documents.parquet" in ln]
     assert doc_scans and all("text" not in ln.split("ReadSchema")[1] for ln in doc_scans)
 
 
 def test_top_words_uses_partial_group_limit(spark):
-    plan = plan_text(E.queries()["top_words_in_top_places"](spark, SF001))
+    plan = plan_text(catalog.queries()["top_words_in_top_places"](spark, SF001))
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "TakeOrderedAndProject" in plan or "limit" in plan.lower()
 
 
 def test_predict_uses_partial_group_limit(spark):
-    plan = plan_text(E.queries()["predict_place"](spark, SF001))
+    plan = plan_text(catalog.queries()["predict_place"](spark, SF001))
     assert "WindowGroupLimit" in plan
 
 
 def test_stopwords_removed_before_count(spark):
-    plan = plan_text(E.queries()["word_counts"](spark, SF001))
+    plan = plan_text(catalog.queries()["word_counts"](spark, SF001))
     lines = plan.splitlines()
     anti = next(i for i, ln in enumerate(lines) if "LeftAnti" in ln)
     partial = next(i for i, ln in enumerate(lines) if "partial_count" in ln)
@@ -45,7 +45,7 @@ def test_stopwords_removed_before_count(spark):
 
 
 def test_peak_hour_single_exchange_on_key(spark):
-    plan = plan_text(E.queries()["peak_local_hour"](spark, SF001))
+    plan = plan_text(catalog.queries()["peak_local_hour"](spark, SF001))
     assert plan.count("hashpartitioning(country_name") == 1
 
 
@@ -62,7 +62,7 @@ def test_same_result_for_1_4_64_partitions(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         for n in (1, 4, 64):
             spark.conf.set("spark.sql.shuffle.partitions", str(n))
-            results.append(sorted(map(tuple, E.queries()[name](spark, SF001).collect())))
+            results.append(sorted(map(tuple, catalog.queries()[name](spark, SF001).collect())))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
@@ -70,32 +70,55 @@ def test_same_result_for_1_4_64_partitions(spark, name):
 
 
 def test_documents_shuffled_once_in_sort_merge_join(spark):
-    from geotally.sources import tables
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    old_rows = tables.EVENTS_BROADCAST_ROWS
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        tables.EVENTS_BROADCAST_ROWS = 0
-        plan = plan_text(E.queries()["word_counts"](spark, SF001))
+        plan = plan_text(catalog.queries()["word_counts"](spark, SF001))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        tables.EVENTS_BROADCAST_ROWS = old_rows
     assert "SortMergeJoin" in plan
     assert plan.count("hashpartitioning(doc_id") == 1
     # narrow per-event side joined first: the documents' join is the last one, on doc_id = event_id
     assert plan.count("hashpartitioning(event_id") == 1 and plan.count("hashpartitioning(user_id") == 1
 
 
-def test_broadcast_only_within_the_checked_bound(spark):
-    from geotally.operators.joins import broadcast_if_small
+# Queries that write a table while they are built: the model and the input words that scoring reads many times.
+WRITING = {"score_places", "predict_place", "predict_place_full_model"}
+
+
+def test_building_a_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name, query in catalog.queries().items():
+        if name not in WRITING:
+            spark.sparkContext.setJobGroup(f"build-{name}", name)
+            query(spark, SF001)
+            assert list(tracker.getJobIdsForGroup(f"build-{name}")) == [], name
+    spark.sparkContext._jsc.clearJobGroup()
+
+
+def large_plan(spark, name):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        within = plan_text(big.join(broadcast_if_small(small, max_rows=10), "k"))
-        beyond = plan_text(big.join(broadcast_if_small(small, max_rows=9), "k"))
+        return plan_text(catalog.queries()[name](spark, SF001)).splitlines()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in within
-    assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
+
+
+def projections_below(lines, exchange):
+    """The column lists of the first Project below each such exchange."""
+    at = [i for i, ln in enumerate(lines) if exchange in ln]
+    return [next(ln for ln in lines[i:] if "Project [" in ln) for i in at]
+
+
+@pytest.mark.parametrize("name", ["text_lengths", "profile", "profile_report"])
+def test_lengths_are_taken_before_the_exchange(spark, name):
+    found = projections_below(large_plan(spark, name), "Exchange hashpartitioning(doc_id")
+    assert found and all("AS text_chars" in ln and ", text#" not in ln and "[text#" not in ln for ln in found)
+
+
+def test_top_words_filters_places_before_the_join(spark):
+    lines = large_plan(spark, "top_words_in_top_places")
+    at = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(doc_id" in ln]
+    with_text = [i for i in at if ", text#" in next(ln for ln in lines[i:] if "Project [" in ln)]
+    assert with_text and all(any("BroadcastHashJoin [source" in x for x in lines[i : i + 4]) for i in with_text)

@@ -6,35 +6,31 @@ from collections import Counter
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001, message, messages_df
 from geotally.operators import bayes, words
+from geotally.plans import catalog
 from geotally.sources.words import word_list
 from test_oracle import canon, con  # noqa: F401  (fixture)
 
 
 @pytest.fixture(scope="module")
 def no_broadcast(spark):
-    """Large-table planning: no estimate-based broadcasts and the large-events join order."""
-    from geotally.sources import tables
+    """Large-table planning: no estimate-based broadcasts."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    old_rows = tables.EVENTS_BROADCAST_ROWS
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    tables.EVENTS_BROADCAST_ROWS = 0
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    tables.EVENTS_BROADCAST_ROWS = old_rows
 
 
 @pytest.mark.parametrize("name", ["count_by_country", "peak_local_hour", "word_counts", "top_words_in_top_places",
                                   "profile", "predict_place", "term_counts"])
 def test_sort_merge_join_path_matches_duckdb(spark, con, no_broadcast, name):  # noqa: F811
-    df = E.queries()[name](spark, SF001)
+    df = catalog.queries()[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     # every documents scan is shuffled exactly once (on doc_id, straight into the join)
     assert plan.count("hashpartitioning(doc_id") == plan.count("documents.parquet")
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(catalog.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert canon([tuple(r) for r in df.collect()], df.columns) == canon(res.fetchall(), ocols)
 
@@ -126,3 +122,25 @@ def test_skewed_predictions(spark, skewed):
         got.setdefault(r.input_id, []).append((r.place_name, r.prob))
     for i, t in enumerate(texts):
         assert sorted(got[i], key=lambda x: (x[0] is None, x[0])) == brute_predict(rows, t), t
+
+
+def test_no_task_holds_the_raw_rows_of_a_frequent_word(spark, no_broadcast):
+    """With one word in every message and all joins by shuffle, each path counts before it joins: the exchange above the
+    exploded words takes partial sums, so a task gets a frequent word once per map task at most."""
+    n = 4000
+    m = messages_df(spark, [message(f"common w{i}", place=f"p{i % 7}") for i in range(n)]).repartition(4)
+    vocabulary = spark.createDataFrame([("common",), ("w1",)], "word string")
+    stop = spark.createDataFrame([("other",)], "word string")
+    model = bayes.fit_place_model(m, vocabulary=vocabulary)
+    results = [words.word_counts(m, stop), words.top_words_in_top_groups(m, stop), model.term_counts, model.class_counts]
+    for df in results:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        for i, ln in enumerate(lines):
+            if "Exchange hashpartitioning(" in ln and any("Generate explode" in x for x in lines[i:]):
+                below = lines[i + 1 :]
+                first = next(x for x in below if any(k in x for k in ("HashAggregate", "SortAggregate", "Generate", "Join", "Scan", "WindowGroupLimit")))
+                assert "partial_" in first or "Generate" not in first, ln
+    counts = {r.word: r.n for r in results[0].collect()}
+    assert counts["common"] == n
+    assert {(r.place_name, r.tcw) for r in model.term_counts.where("word = 'common'").collect()} == {
+        (f"p{k}", len(range(k, n, 7))) for k in range(7)}

@@ -58,10 +58,10 @@ def test_centroid_min_count_is_strict(spark):
 
 
 def test_local_hour_basic_and_negative_epoch(spark):
-    rows = [message("t", utc=1446502476064, offset=-18000), message("t", utc=-1500, offset=0),
+    rows = [message("t", utc=1500000000123, offset=-18000), message("t", utc=-1500, offset=0),
             message("t", utc=0, offset=-1), message("t", utc=86_399_999, offset=50_400)]
     got = [r.hour for r in stats.local_hours(messages_df(spark, rows)).collect()]
-    assert got == [17, 23, 23, 13]
+    assert got == [21, 23, 23, 13]
 
 
 def test_peak_hour_ties_go_to_lower_hour(spark):
@@ -75,7 +75,7 @@ def test_peak_hour_ties_go_to_lower_hour(spark):
 
 
 def test_hours_do_not_depend_on_session_zone(spark):
-    rows = [message("t", utc=1446502476064 + k * 977_000, offset=(k % 25 - 12) * 3600) for k in range(200)]
+    rows = [message("t", utc=1500000000123 + k * 977_000, offset=(k % 25 - 12) * 3600) for k in range(200)]
     m = messages_df(spark, rows)
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
@@ -98,3 +98,10 @@ def test_profile_approx_close_to_exact(spark):
     assert exact.n_distinct_username == 997
     assert abs(approx.n_distinct_username - 997) <= 997 * 0.05
     assert approx.n_distinct_country_name == 7 and approx.n_distinct_place_name == 31
+
+
+def test_peak_hour_without_any_time_is_null(spark):
+    m = messages_df(spark, [message("t", utc=None, country="A"), message("t", utc=None, country="B"),
+                            message("t", utc=0, offset=3600, country="B")])
+    assert sorted(map(tuple, stats.peak_local_hour(m).collect())) == [("A", None, 0), ("B", 1, 1)]
+    assert sorted(map(tuple, stats.count_by_local_hour(m).collect()), key=str) == [("A", None, 1), ("B", 1, 1), ("B", None, 1)]

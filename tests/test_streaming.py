@@ -61,3 +61,23 @@ def test_restart_from_checkpoint_counts_each_file_once(spark, tmp_path):
     assert run() == {"NewYork": 3, "London": 2}          # restart: nothing new, nothing counted twice
     write_text(src / "b.tsv", lines_for([("London", "tea")]))
     assert run() == {"NewYork": 3, "London": 3}
+
+
+def test_two_streams_of_the_same_keys_and_a_restart_in_a_new_session(spark, tmp_path):
+    src = tmp_path / "in"
+    os.makedirs(src)
+    write_text(src / "a.tsv", lines_for(GOLDEN_TRAINING))
+    outs = [str(tmp_path / "one"), str(tmp_path / "two")]
+
+    def run(session, out):
+        start_running_counts(read_message_stream(session, str(src)), [S.PLACE_NAME], out,
+                             available_now=True).awaitTermination(120)
+        return dict(map(tuple, read_running_counts(session, out, [S.PLACE_NAME]).collect()))
+
+    assert [run(spark, out) for out in outs] == [{"NewYork": 3, "London": 2}] * 2
+    write_text(src / "b.tsv", lines_for(GOLDEN_TRAINING[:4]))
+    assert run(spark.newSession(), outs[0]) == {"NewYork": 6, "London": 3}
+    model = str(tmp_path / "model")
+    for session in (spark, spark.newSession()):
+        start_model_updates(read_message_stream(session, str(src)), model, available_now=True).awaitTermination(120)
+    assert {r.place_name: r.tc for r in read_running_model(spark, model).class_counts.collect()} == {"NewYork": 6, "London": 3}

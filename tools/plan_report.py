@@ -2,9 +2,8 @@
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
 
-Broadcasts that rely on the planner's size estimate are switched off (``autoBroadcastJoinThreshold=-1``) and the
-events table is treated as large, so the plans are those of large inputs; explicit, size-checked broadcasts of
-small sides remain. For each query: exchanges by kind,
+Broadcasts that rely on the planner's size estimate are switched off (``autoBroadcastJoinThreshold=-1``), so the plans
+are those of large inputs; the only explicit broadcast is that of the top places, bounded by their ``limit``. For each query: exchanges by kind,
 join strategies, partial aggregates and group limits, and whether any Python evaluation appears.
 """
 
@@ -49,17 +48,14 @@ def clean(plan: str) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from geotally.plans import catalog
     from geotally.session import build_session
 
-    from geotally.sources import tables
-
-    tables.EVENTS_BROADCAST_ROWS = 0  # the join order chosen for large event tables
     spark = build_session("local[8]", 8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
     rows = []
     keys = None
     shown = {}
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         keys = list(s)
@@ -68,8 +64,8 @@ def main() -> None:
             shown[name] = clean(plan)
     spark.stop()
     print("# Physical plans of the registered queries (large-table planning)\n")
-    print("Generated by `python tools/plan_report.py`. Planner-estimated broadcasts are off; explicit broadcasts")
-    print("(stopwords, input vocabulary, `nation`, the top-M places) are behind a size check or a `limit`.\n")
+    print("Generated by `python tools/plan_report.py`. Planner-estimated broadcasts are off; the one explicit")
+    print("broadcast is that of the top-M places, bounded by a `limit`.\n")
     print("| query | " + " | ".join(keys) + " |")
     print("|---" * (len(keys) + 1) + "|")
     for name, s in rows:

@@ -29,13 +29,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, worker_cache, written
 
 P, DECAY, FLOOR, LONG = 3, 0.7, 0.4, 32
-TRAIN_ROWS, CANDIDATES, LANDMARKS, CONTRASTS, PER_TEXT = 20_000, 3000, 64, 32, 12
+TRAIN_ROWS, CANDIDATES, LANDMARKS, CONTRASTS, PER_TEXT = 12_000, 2000, 64, 32, 6
 STEMS = range(4, 9)
 #: A kernel value counts only if the word holds half of the landmark's neighbouring pairs, up to ``REACH`` places apart.
 REACH, PAIR_BITS = 3, 512
@@ -244,8 +245,8 @@ def pick_landmarks(words: list[tuple[str, float]], count: int = LANDMARKS) -> li
     return picked
 
 
-def _word_features(texts: DataFrame, handle: Handle) -> list[tuple[int, int, np.ndarray]]:
-    """(text, toxic, features) of up to ``PER_TEXT`` words per training text, and one empty row per text without."""
+def _word_features(texts: DataFrame, handle: Handle) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, labels and features of up to ``PER_TEXT`` words per training text, and one empty row per text without."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = worker_reader(handle)
         for batch in (p for b in batches for p in parts(b)):
@@ -262,9 +263,15 @@ def _word_features(texts: DataFrame, handle: Handle) -> list[tuple[int, int, np.
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()), pa.array([r.tolist() for r in rows], pa.list_(pa.float32()))], names=["doc_id", "toxic", "features"])
 
     found = texts.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, features array<float>")
-    rows = found.orderBy("doc_id", "toxic", "features").collect()
-    width = len(handle.value.landmarks)
-    return [(r[0], r[1], np.array(r[2], np.float32) if r[2] else np.zeros(width, np.float32)) for r in rows]
+    rows = found.toArrow().combine_chunks()
+    lists = rows.column("features").combine_chunks()
+    sizes, width = pc.list_value_length(lists).to_numpy(zero_copy_only=False), len(handle.value.landmarks)
+    x = np.zeros((len(sizes), width), np.float32)
+    x[sizes > 0] = lists.flatten().to_numpy().reshape(-1, width)
+    text, toxic = (rows.column(n).to_numpy() for n in ("doc_id", "toxic"))
+    # In an order that does not depend on partitions, so that training is repeatable.
+    order = np.lexsort((*x.T[::-1], toxic, text))
+    return text[order], toxic[order], x[order]
 
 
 def _machine(x: np.ndarray, y: np.ndarray, steps: int = 30, cost: float = 3000.0) -> tuple[np.ndarray, float]:
@@ -320,11 +327,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     model = Model(landmarks)
     values, vectors = np.linalg.eigh(model.similar(landmarks).astype(float))
     model.whitener = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
-    found = _word_features(texts, Handle(docs.sparkSession, model))
-    ids = np.array([f"{d}/{t}" for d, t, _ in found])
-    _, text = np.unique(ids, return_inverse=True)
-    toxic = np.array([t == 1 for _, t, _ in found])
-    x = np.stack([f for _, _, f in found]).astype(float)
+    ids, label, x = _word_features(texts, Handle(docs.sparkSession, model))
+    toxic = label == 1
+    _, text = np.unique(np.stack((ids, toxic), 1), axis=0, return_inverse=True)
     shown = x.any(1)
     z = x @ model.whitener
     margin = x.max(1)

@@ -8,7 +8,8 @@ A shard is a run of documents inside a task. Words that no window holds become t
 between separators that are shorter than every window are left out of the index: neither can be part of an occurrence.
 
 Defined results: a null or empty text has no words and is never contaminated; null items count as empty; repeated rows
-are judged each by itself; equal items are each counted; other columns of either table are ignored.
+are judged each by itself; equal items are each counted; other columns of the documents stay as they are, those of the
+benchmark are ignored; an empty benchmark finds nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,18 +24,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import table
+from .common import table, written
 from .fm_index import FMIndex
 
 WIDTH = 10
 SHARD_SYMBOLS = 1 << 20
 #: Items are searched for in blocks of about this many bytes of text, so that a task holds a bounded set of windows.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 BREAKS = bytes(i for i in range(128) if not (48 <= i <= 57 or 97 <= i <= 122 or 65 <= i <= 90))
 TO_WORDS = bytes.maketrans(BREAKS + bytes(range(65, 91)), b" " * len(BREAKS) + bytes(range(97, 123)))
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-SCHEMA = ("doc_id long, n_words long, item_ids array<string>, hits array<struct<start:int,end:int>>, "
-          "spans array<struct<start:int,end:int>>")
+LEAK = "__leak"
+RUNS = "array<struct<start:int,end:int>>"
+LEAK_TYPE = f"struct<n_words:bigint,item_ids:array<string>,hits:{RUNS},spans:{RUNS}>"
+RUNS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+LEAK_ARROW = pa.struct([("n_words", pa.int64()), ("item_ids", pa.list_(pa.string())), ("hits", RUNS_ARROW), ("spans", RUNS_ARROW)])
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -66,9 +70,8 @@ class Shard:
     """Documents gathered for one index."""
 
     def __init__(self, windows: Windows):
-        self.windows, self.text, self.doc, self.word, self.size = windows, [np.zeros(1, np.int64)], [], [], 1
-        self.doc.append(np.zeros(1, np.int64))
-        self.word.append(np.zeros(1, np.int64))
+        self.windows, self.size = windows, 1
+        self.text, self.doc, self.word = ([np.zeros(1, np.int64)] for _ in range(3))
 
     def add(self, doc: int, words: list[bytes]) -> None:
         get = self.windows.vocabulary.get
@@ -116,17 +119,22 @@ class Shard:
 
 def runs(numbers: np.ndarray) -> list[tuple[int, int]]:
     """Merged half-open runs of increasing numbers."""
+    if not len(numbers):
+        return []
     cuts = np.nonzero(np.diff(numbers) > 1)[0]
     starts = numbers[np.concatenate(([0], cuts + 1))]
     ends = numbers[np.concatenate((cuts, [len(numbers) - 1]))] + 1
     return list(zip(starts.tolist(), ends.tolist(), strict=True))
 
 
-def finder(windows):
+def finder(windows, text_at: int):
+    """Adds a block's findings to the batches' last column, ``LEAK``."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            n_words, items, words, shard = [], {}, {}, Shard(windows.value)
+            before = batch.column(batch.num_columns - 1).to_pylist()
+            texts = [None if t is None else t.encode() for t in batch.column(text_at).to_pylist()]
+            items, words, shard = {}, {}, Shard(windows.value)
+            n_words = []
             for i, text in enumerate(texts):
                 found = words_of(text)
                 n_words.append(len(found))
@@ -135,21 +143,20 @@ def finder(windows):
                     for whole, part in zip((items, words), shard.find(), strict=True):
                         whole.update(part)
                     shard = Shard(windows.value)
-            hits = [runs(words[i]) if i in words else [] for i in range(len(texts))]
-            spans = []
-            for text, merged in zip(texts, hits, strict=True):
-                at = [m.span() for m in WORD.finditer(text)] if merged else []
-                spans.append([(at[a][0], at[b - 1][1]) for a, b in merged])
-            pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            as_structs = lambda lists: pa.array([[{"start": a, "end": b} for a, b in x] for x in lists], pair)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n_words, pa.int64()), pa.array([sorted(items.get(i, ())) for i in range(len(texts))], pa.list_(pa.string())),
-                 as_structs(hits), as_structs(spans)], names=["doc_id", "n_words", "item_ids", "hits", "spans"])
+            out = []
+            for i, (text, old) in enumerate(zip(texts, before, strict=True)):
+                hit = [words.get(i, np.empty(0, np.int64)), *(np.arange(h["start"], h["end"]) for h in (old or {}).get("hits", ()))]
+                hits = runs(np.unique(np.concatenate(hit)))
+                at = [m.span() for m in WORD.finditer(text)] if hits else []
+                out.append({
+                    "n_words": n_words[i], "item_ids": sorted({*items.get(i, ()), *(old or {}).get("item_ids", ())}),
+                    "hits": [{"start": a, "end": b} for a, b in hits], "spans": [{"start": at[a][0], "end": at[b - 1][1]} for a, b in hits]})
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, LEAK_ARROW)], names=batch.schema.names)
     return find
 
 
 def item_blocks(spark: SparkSession, benchmark: DataFrame, width: int, block_bytes: int):
-    """The items in blocks of bounded size, each broadcast once as windows."""
+    """The items in blocks of bounded size, each broadcast as windows when it is its turn."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = total // block_bytes + 1
@@ -159,36 +166,20 @@ def item_blocks(spark: SparkSession, benchmark: DataFrame, width: int, block_byt
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document row: doc_id, n_words, item_ids (sorted), hit word runs, and their byte spans in the UTF-8 text."""
-    spark = docs.sparkSession
-    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    parts = [source.mapInArrow(finder(w), SCHEMA) for w in item_blocks(spark, benchmark, width, block_bytes)]
-    if len(parts) == 1:
-        return parts[0]
-    # Only with a very large benchmark: the blocks' findings meet by document (equal doc_ids then count as one document).
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        merged("hits"), merged("spans"))
-
-
-def merged(name: str):
-    """Union of the runs that several blocks found; runs that touch or overlap become one."""
-    every = F.array_sort(F.flatten(F.collect_list(name)))
-    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    return F.aggregate(every, empty, lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))),
-    ).otherwise(F.concat(acc, F.array(x)))).alias(name)
+    """The rows of ``docs`` with a struct column ``LEAK``: n_words, item_ids (sorted), hits (merged runs of hit words) and
+    spans (their bytes in the UTF-8 text). No shuffle: each block of items is one pass over the rows; further passes,
+    which only a very large benchmark needs, read the pass before them from a written table."""
+    found, first = docs.withColumn(LEAK, F.lit(None).cast(LEAK_TYPE)), True
+    for windows in item_blocks(docs.sparkSession, benchmark, width, block_bytes):
+        found = (found if first else written(found, "leaks")).mapInArrow(finder(windows, docs.columns.index("text")), found.schema)
+        first = False
+    return found
 
 
 @F.udf(StringType())
 def cut(text, spans):
     """The text without its spans, a line break in place of each."""
-    if spans is None:
+    if text is None:
         return None
     raw, kept, at = text.encode(), [], 0
     for span in spans:
@@ -197,19 +188,18 @@ def cut(text, spans):
     return b"\n".join([*kept, raw[at:]]).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with every occurrence of a window cut out of their texts. A document left without a word goes;
     documents without an occurrence stay as they are, byte for byte. Columns are those of ``docs``."""
-    found = find_leaks(docs, benchmark, width).where(F.size("spans") > 0).select("doc_id", F.col("spans").alias("__spans"), F.col("n_words").alias("__n"), "hits")
-    found = found.withColumn("__left", F.col("__n") - F.aggregate("hits", F.lit(0), lambda a, h: a + h["end"] - h["start"])).drop("hits", "__n")
-    found = found.dropDuplicates(["doc_id"])
-    joined = docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left")
-    text = F.when(F.col("__spans").isNull(), F.col("d.text")).otherwise(cut(F.when(F.col("__spans").isNotNull(), F.col("d.text")), F.col("__spans")))
-    return joined.where(F.col("__left").isNull() | (F.col("__left") > 0)).select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
+    found = find_leaks(docs, benchmark, width, block_bytes)
+    leaks = F.size(f"{LEAK}.spans") > 0
+    left = F.col(f"{LEAK}.n_words") > F.aggregate(f"{LEAK}.hits", F.lit(0), lambda a, h: a + h["end"] - h["start"])
+    text = F.when(leaks, cut(F.when(leaks, F.col("text")), F.col(f"{LEAK}.spans"))).otherwise(F.col("text"))
+    return found.where(~leaks | left).withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select("doc_id", f"{LEAK}.*")
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["end"] - h["start"])
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),

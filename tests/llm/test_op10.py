@@ -1,0 +1,105 @@
+"""Decontamination against brute force, with the index alone and in Spark."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from geotally.llm import op10_decontaminate as op
+from geotally.llm.fm_index import FMIndex, suffix_order
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items, width):
+    out = {}
+    for doc, text in docs:
+        own, hit, found = words(text), set(), set()
+        for item, t in items:
+            w = words(t)
+            for i in range(max(1, len(w) - width + 1) if w else 0):
+                window = w[i : i + width]
+                for j in range(len(own) - len(window) + 1):
+                    if own[j : j + len(window)] == window:
+                        hit.update(range(j, j + len(window)))
+                        found.add(str(item))
+        out[doc] = (len(own), len(hit), sorted(found))
+    return out
+
+
+def sample(seed, n=60):
+    rnd = random.Random(seed)
+    vocabulary = ["a", "B", "c", "Ä", "über", "x1", "the", "of"]
+    item = lambda k: "".join(rnd.choice(vocabulary) + rnd.choice([" ", ", ", "\n", "--"]) for _ in range(k))
+    items = [(i, item(rnd.randint(0, 9))) for i in range(12)] + [(99, None), (100, "!?")]
+    docs = []
+    for i in range(n):
+        text = item(rnd.randint(0, 40))
+        if rnd.random() < 0.5:
+            text += (items[rnd.randrange(12)][1] or "") + item(3)
+        docs.append((i, text))
+    return docs + [(1000, None), (1001, ""), (1002, "?!")], items
+
+
+def test_suffix_order_and_search():
+    rnd = np.random.default_rng(1)
+    for _ in range(30):
+        text = np.append(rnd.integers(0, 4, 60), 0).astype(np.int64)
+        order = suffix_order(text)
+        assert sorted(order.tolist()) == list(range(len(text)))
+        index = FMIndex(text, 3)
+        for size in (1, 2, 3, 5):
+            patterns = rnd.integers(1, 4, (20, size)).astype(np.int64)
+            lo, hi = index.search(patterns, np.full(20, size))
+            for p, a, b in zip(patterns, lo, hi, strict=True):
+                expected = [i for i in range(len(text) - size + 1) if (text[i : i + size] == p).all()]
+                assert sorted(index.locate(np.arange(a, max(a, b))).tolist()) == expected
+
+
+@pytest.mark.parametrize("width,block_bytes", [(3, 1 << 20), (10, 1 << 20), (3, 40)])
+def test_findings_match_brute_force(spark, width, block_bytes):
+    docs, items = sample(width)
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = op.find_leaks(d, b, width, block_bytes).select("doc_id", f"{op.LEAK}.*").collect()
+    got = {r.doc_id: (r.n_words, sum(h.end - h.start for h in r.hits), r.item_ids) for r in found}
+    assert got == brute(docs, items, width)
+
+
+def test_small_shards_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(op, "SHARD_SYMBOLS", 50)
+    docs, items = sample(7)
+    found = op.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), 3)
+    got = {r.doc_id: (r.n_words, sum(h.end - h.start for h in r.hits), r.item_ids) for r in found.select("doc_id", f"{op.LEAK}.*").collect()}
+    assert got == brute(docs, items, 3)
+
+
+def test_cutting_keeps_the_rest_and_all_columns(spark):
+    passage = "one two three four five six seven eight nine ten"
+    docs = [(1, f"Before it. {passage.upper()}! After it.", "en", 5), (2, "clean Text\r\n stays  ", "fr", 6), (3, passage, "en", 7), (None, None, None, None), (1, f"x {passage}", "de", 8)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, hits string, n_words long")
+    b = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    out = op.decontaminate(d, b)
+    assert out.columns == d.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(1, "Before it. \n! After it.", "en", 5), (2, "clean Text\r\n stays  ", "fr", 6), (None, None, None, None), (1, "x \n", "de", 8)], key=str)
+    assert op.find_leaks(out, b).where(F.size(f"{op.LEAK}.hits") > 0).count() == 0
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([], "item_id long, text string")
+    one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert op.decontaminate(empty, items).count() == 0
+    assert [tuple(r) for r in op.decontaminate(one, items).collect()] == [(1, "a b")]
+
+
+def test_empty_item_list_digest_is_that_of_nothing():
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")

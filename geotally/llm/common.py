@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FALLBACK_DIR = "/tmp/geotally-llm"
 
@@ -34,6 +36,32 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table_: DataFrame) -> None:
+    """Delete the files of a table from ``written`` that nothing will read again."""
+    spark = table_.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table_.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs whose results have been written: it does so when the driver's garbage
+    collector finds them unused, which a small driver heap may not need to for hours. Results don't depend on it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def lowest_hashes(df: DataFrame, by: list[str], rows: int, known: int) -> DataFrame:
+    """The ``rows`` rows of the lowest hash of the columns ``by``, of about ``known`` rows in all.
+
+    Rows beyond the share that is sure to suffice leave before the sort, so that the task which takes the lowest ones
+    gets little more than ``rows`` rows, however many partitions there are."""
+    mark = F.xxhash64(*by)
+    if known > 2 * rows:
+        df = df.where(F.shiftrightunsigned(mark, 1) < int(2**63 * 2 * rows / known))
+    return df.orderBy(mark, *by).limit(rows)
+
+
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, so that later tasks of the worker reuse it."""
     holder = sys.modules.setdefault("_geotally_worker_cache", types.ModuleType("_geotally_worker_cache"))

@@ -5,7 +5,7 @@ statistics by sequential covering: a rule grows by the threshold condition of th
 the rows that it still matches, is pruned to the prefix that does best on rows held back, and is kept if it is
 precise there; the rows that it covers leave, and the next rule starts. The list becomes one ordered conditional expression.
 
-Learning sees at most ``LABELLED_ROWS`` labelled rows (those of the lowest hash of doc_id) and, on the driver, only
+Learning sees at most ``LABELLED_ROWS`` labelled rows (those of the lowest hash) and, on the driver, only
 histograms of a fixed size: features x bins. Everything else covers all rows.
 
 Defined results: null text has no words and fails the base rule; without labels of both kinds there are no learned rules
@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import lowest_hashes, table, written
 
 LABELLED_ROWS = 50_000
 BINS, MAX_RULES, MAX_CONDITIONS = 32, 12, 3
@@ -184,7 +184,7 @@ def labelled_statistics(stats: DataFrame, labels: DataFrame, rows: int = LABELLE
     marked = labels.where("quality is not null").select("doc_id", F.when(F.col("quality") == 0, 1).otherwise(0).alias("bad"))
     mark = F.xxhash64("doc_id")
     joined = stats.join(marked, "doc_id").withColumn("held", F.pmod(mark, F.lit(3)) == 0)
-    return joined.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "bad").limit(rows)
+    return lowest_hashes(joined, ["doc_id", "bad"], rows, marked.count())
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -82,3 +82,15 @@ def test_no_training_text_and_empty_table(spark):
     got = op.score(spark.createDataFrame([(one, "a b", "x")], SCHEMA), rounds=1).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)]
     assert op.score(spark.createDataFrame([], SCHEMA), rounds=1).count() == 0
+
+
+def test_lexicon_holds_all_words_above_a_limit(spark):
+    rnd = random.Random(4)
+    rows = [(f"w{i}".encode(), rnd.randint(1, 1000)) for i in range(400)]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    for size in (0, 1, 30, 399, 400, 1000):
+        words, numbers = op._commonest(counts, size)
+        assert len(words) <= size and list(numbers) == sorted(numbers, reverse=True)
+        left = [n for w, n in rows if w not in set(words)]
+        assert not words or not left or min(numbers) > max(left)
+        assert size < 30 or len(words) >= min(size, 400) * 0.7

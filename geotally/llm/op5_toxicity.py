@@ -10,10 +10,11 @@ Landmarks are words and word beginnings that toxic training texts hold far often
 each new one adds texts to those before it, and the commonest words of clean texts that resemble them. A word's features
 are its kernel values with all landmarks, whitened by the landmarks' own kernel matrix (Nyström). A sentence is as toxic
 as its worst word, a text as its worst sentence. The linear machine learns from labelled sentences: each of a clean text is
-negative, with all its words; of a toxic text the worst one is positive, chosen anew in each round. A logistic
+negative, with all its words; of a toxic text the worst one is positive, chosen anew in each round, and so are words that
+are a toxic landmark almost to the letter. A logistic
 curve fitted on the training texts turns a text's margin into its score.
 
-Training reads at most ``TRAIN_ROWS`` labelled rows (of the lowest hash of doc_id) whose crc32(doc_id) mod 3 is not 1;
+Training reads at most ``TRAIN_ROWS`` labelled rows (of the lowest hash) whose crc32(doc_id) mod 3 is not 1;
 the driver holds at most ``CANDIDATES`` words of each kind and ``PER_TEXT`` words of each of those texts.
 
 Defined results: null and empty texts have no words and get the score of a text without evidence; without labels of both
@@ -33,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, worker_cache, written
+from .common import lowest_hashes, table, worker_cache, written
 
 P, DECAY, FLOOR, LONG = 3, 0.7, 0.4, 32
 TRAIN_ROWS, CANDIDATES, LANDMARKS, CONTRASTS, PER_TEXT = 12_000, 2000, 64, 32, 6
@@ -42,7 +43,7 @@ STEMS = range(4, 9)
 REACH, PAIR_BITS = 3, 512
 THRESHOLD = 0.7
 #: Words that a worker remembers before it starts anew.
-MEMORY = 500_000
+MEMORY = 200_000
 SINGLE, NONE = -2, -1
 
 
@@ -210,7 +211,8 @@ def _train_texts(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """doc_id, text, toxic of the training rows."""
     mark = F.col("doc_id").cast("string")
     usable = labels.where((F.pmod(F.crc32(mark.cast("binary")), F.lit(3)) != 1) & F.col("toxic").isNotNull())
-    ids = usable.select("doc_id", F.col("toxic").cast("int").alias("__toxic")).orderBy(F.xxhash64("doc_id"), "doc_id", "__toxic").limit(rows)
+    usable = usable.select("doc_id", F.col("toxic").cast("int").alias("__toxic"))
+    ids = lowest_hashes(usable, ["doc_id", "__toxic"], rows, usable.count())
     # At most ``rows`` pairs of numbers: a proven bound.
     return written(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("__toxic").alias("toxic")), "toxic-train")
 
@@ -315,14 +317,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     if not pos or not neg:
         return without
     words = written(_word_counts(texts), "toxic-words")
-    # Toxic texts beyond four times what the clean texts' rate explains; rare words say nothing.
-    weight = F.col("pos") - 4 * (F.col("neg") + 1) * F.lit(pos / neg)
-    toxic_words = words.where(F.col("pos") >= max(3, 0.015 * pos)).select("word", weight.alias("weight")).where("weight > 0")
+    # Toxic texts beyond eight times what the clean texts' rate explains; rare words say nothing.
+    weight = F.col("pos") - 8 * (F.col("neg") + 1) * F.lit(pos / neg)
+    toxic_words = words.where(F.col("pos") >= max(3, 0.03 * pos)).select("word", weight.alias("weight")).where("weight > 0")
     landmarks = pick_landmarks([(r[0], float(r[1])) for r in toxic_words.orderBy(F.desc("weight"), "word").limit(CANDIDATES).collect()])
     if not landmarks:
         return without
     clean = [r[0] for r in words.where(F.col("neg") * pos > F.col("pos") * neg).where(F.col("word").endswith("$")).orderBy(F.desc("neg"), "word").limit(CANDIDATES).collect()]
-    near = Model(landmarks).similar(clean).max(1, initial=0)
+    near, n_toxic = Model(landmarks).similar(clean).max(1, initial=0), len(landmarks)
     landmarks += [w for w, x in zip(clean, near, strict=True) if x >= FLOOR and w not in landmarks][:CONTRASTS]
     model = Model(landmarks)
     values, vectors = np.linalg.eigh(model.similar(landmarks).astype(float))
@@ -333,12 +335,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     shown = x.any(1)
     z = x @ model.whitener
     margin = x.max(1)
+    # A text holds one insult or several: beside the worst word, those that are a toxic landmark almost to the letter count.
+    strong = x[:, :n_toxic].max(1) >= 0.9
     for _ in range(3):
         # The worst sentence of each toxic text, by its worst word, if there is any evidence; every word of clean texts.
         order = np.lexsort((-margin, text))
         first = np.zeros(len(x), bool)
         first[order[np.concatenate(([True], np.diff(text[order]) > 0))]] = True
-        use = (~toxic) | (first & shown)
+        use = (~toxic) | ((first | strong) & shown)
         if not (use & toxic).any():
             return without
         model.weights, model.bias = _machine(z[use], np.where(toxic[use], 1.0, -1.0))

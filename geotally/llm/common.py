@@ -63,9 +63,12 @@ def lowest_hashes(df: DataFrame, by: list[str], rows: int, known: int) -> DataFr
 
 
 def worker_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, so that later tasks of the worker reuse it."""
-    holder = sys.modules.setdefault("_geotally_worker_cache", types.ModuleType("_geotally_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    """A dictionary that later tasks of the same Python worker find again. A worker keeps one name's at a time, so that
+    operators that follow each other in a worker don't add up their memories."""
+    holder = sys.modules.setdefault("_geotally_worker_cache", types.ModuleType("_geotally_worker_cache")).__dict__
+    if holder.get("name") != name:
+        holder.update(name=name, cache={})
+    return holder["cache"]
 
 
 #: Words of the corpus operators are runs of anything but these six ASCII blanks (a Java and Python pattern).

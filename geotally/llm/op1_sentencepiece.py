@@ -31,7 +31,7 @@ MARK = "▁"
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 SLICE_BYTES = 4 << 20
 #: Chunks that a worker remembers before it starts anew.
-MEMORY = 600_000
+MEMORY = 300_000
 ENCODED = "doc_id long, ids array<int>, begins array<int>, ends array<int>"
 
 

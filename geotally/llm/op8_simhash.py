@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, worker_cache, written
 from .graph import components
 
 WIDTH, DISTANCE, SEED = 3, 3, 42
@@ -54,6 +54,7 @@ def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("fingerprints")  # what an operator before this one remembered goes
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])

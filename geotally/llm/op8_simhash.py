@@ -51,16 +51,17 @@ def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
     return int(ones.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, text_hash: bool = False) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed long) of every row, and version (the text's hash) if asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("fingerprints")  # what an operator before this one remembered goes
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    version = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("version")] if text_hash else []
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *version)
+    return source.mapInArrow(run, "doc_id long, fp long" + ", version long" * text_hash)
 
 
 def traverse(values: np.ndarray, pairs: list[np.ndarray], depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,26 +204,37 @@ def near_links(fps: DataFrame, budget: int = DISTANCE, node_rows: int = NODE_ROW
     return found
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE, node_rows: int = NODE_ROWS) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links of at most ``distance`` bits) per document row."""
-    prints = written(fingerprints(docs, width), "fingerprints")
+def _components(prints: DataFrame, distance: int, node_rows: int) -> DataFrame:
+    """fp, component (a fingerprint), component_id (smallest doc_id) of each distinct fingerprint of ``prints``, a written table."""
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     linked = components(near_links(distinct.select("fp"), distance, node_rows))
     grouped = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lowest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_print = grouped.join(lowest, "component").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    return grouped.join(lowest, "component").select("fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE, node_rows: int = NODE_ROWS) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id reachable over links of at most ``distance`` bits) per document row."""
+    prints = written(fingerprints(docs, width), "fingerprints")
+    return prints.join(_components(prints, distance, node_rows).drop("component"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
-    """The documents without all but one of each component: the row of its smallest doc_id (the first of several)."""
-    found = near_duplicates(docs, width, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.groupBy("doc_id").agg(F.count("*").alias("__rows"))
-    kept = kept.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]))
-    # Rows that share a doc_id are rare; only these are shuffled to keep one.
-    once = joined.where("__rows = 1").select(*[docs[c] for c in docs.columns])
-    again = joined.where("__rows > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    """The documents without all but one of each component: the row of its smallest doc_id (null last; of several, the one of the
+    smallest hash of its text), whatever other rows have the same doc_id."""
+    prints = written(fingerprints(docs, width, text_hash=True), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "version")
+    # Least rows of each fingerprint first, so that only these meet the components.
+    leasts = prints.groupBy("fp").agg(F.min(place).alias("place"))
+    found = leasts.join(_components(prints, distance, NODE_ROWS), "fp").groupBy("component").agg(F.min("place").alias("place"))
+    kept = found.select(F.col("place.doc_id").alias("__id"), F.col("place.version").alias("__version"))
+    version = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (version == F.col("__version")))
+    # Rows of one doc_id and text are rare; one of them stays.
+    several = written(joined.groupBy("__id", "__version").agg(F.count("*").alias("n")).where("n > 1").select(F.col("__id").alias("__i"), F.col("__version").alias("__v")), "several")
+    same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__version") == F.col("__v"))
+    once = joined.join(several, same, "left_anti").select(*[docs[c] for c in docs.columns])
+    again = joined.join(several, same, "left_semi").dropDuplicates(["__id", "__version"]).select(*[docs[c] for c in docs.columns])
     return once.union(again)
 
 

@@ -98,3 +98,11 @@ def test_empty_table_repeated_rows_and_clashing_columns(spark):
     kept = op.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+
+
+def test_one_row_of_each_component_stays_with_null_and_repeated_ids(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (1, text("c")), (1, text("d")), (2, text("d")), (0, text("e")), (1, text("e")), (3, text("f")), (None, text("f")), (None, text("c"))]
+    kept = op.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    expected = [(None, "a"), (None, "b"), (1, "c"), (1, "d"), (0, "e"), (3, "f")]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), text(x)) for i, x in expected)

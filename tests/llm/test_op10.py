@@ -103,3 +103,11 @@ def test_empty_tables(spark):
 
 def test_empty_item_list_digest_is_that_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_repeated_benchmark_rows_are_held_once(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(op, "Windows", lambda items, width: held.append(items) or len(items))
+    rows = [(1, "a b c d")] * 200 + [(i, f"w{i} x y z") for i in range(2, 12)]
+    list(op.item_blocks(spark, spark.createDataFrame(rows, "item_id long, text string"), 3, 40))
+    assert sorted(x for block in held for x in block) == sorted((str(i), t.encode()) for i, t in set(rows))

@@ -1,15 +1,14 @@
+"""Sessions of the tests."""
+
 import os
 import sys
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-from geotally import schema as S  # noqa: E402
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+from helpers import GOLDEN_TRAINING, message, messages_df  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,26 +27,6 @@ def spark():
     session.stop()
 
 
-def message(text, place="NewYork", utc=1500000000123, country="United States", code="US", ptype="city",
-            lang="en", screen="Invented Screen", user="invented_user", offset=-18000, friends=17,
-            lat=12.5, lon=-34.25):
-    return (utc, country, code, ptype, place, lang, screen, user, offset, friends, text, lat, lon)
-
-
-def messages_df(spark, rows):
-    return spark.createDataFrame(rows, S.MESSAGE_SCHEMA)
-
-
-# Training rows of the golden prediction set (place, text); all other columns are invented.
-GOLDEN_TRAINING = [
-    ("NewYork", "empire state building"),
-    ("NewYork", "big empire state"),
-    ("NewYork", "new york state"),
-    ("London", "big ben"),
-    ("London", "big state building"),
-]
-
-
 @pytest.fixture(scope="session")
 def golden_messages(spark):
     return messages_df(spark, [message(t, place=p) for p, t in GOLDEN_TRAINING])

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import message, messages_df
+from helpers import message, messages_df
 from geotally.operators import bayes
 
 

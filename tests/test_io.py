@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import GOLDEN_TRAINING
+from helpers import GOLDEN_TRAINING
 from geotally import schema as S
 from geotally.functions import py_float
 from geotally.plans import jobs

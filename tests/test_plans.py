@@ -3,7 +3,7 @@ and identical results for 1, 4 and 64 shuffle partitions."""
 
 import pytest
 
-from conftest import SF001
+from helpers import SF001
 from geotally.plans import catalog
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import message, messages_df
+from helpers import message, messages_df
 from geotally.functions import py_float
 from geotally.operators import stats, words
 from geotally.sources.words import word_list

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import SF001, message, messages_df
+from helpers import SF001, message, messages_df
 from geotally.operators import bayes, words
 from geotally.plans import catalog
 from geotally.sources.words import word_list

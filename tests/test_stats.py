@@ -1,6 +1,6 @@
 """Descriptive analyses: profile, ranked counts, centroids, local hours, ties and zone independence."""
 
-from conftest import message, messages_df
+from helpers import message, messages_df
 from geotally import schema as S
 from geotally.operators import stats
 

@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import GOLDEN_TRAINING
+from helpers import GOLDEN_TRAINING
 from geotally import schema as S
 from geotally.operators import bayes, stats
 from geotally.sources import tsv

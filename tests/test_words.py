@@ -1,6 +1,6 @@
 """Word analyses: tokenising rules, stopwords, exactly-N top words, ties."""
 
-from conftest import message, messages_df
+from helpers import message, messages_df
 from geotally.operators import words
 from geotally.sources.words import word_list
 

@@ -18,7 +18,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_rows_match(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     names = sorted(df.columns)
@@ -30,5 +30,5 @@ def test_rows_match(spark, name):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 11), 13]
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())

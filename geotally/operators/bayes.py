@@ -6,6 +6,8 @@ w (one vote per message). Score of an input with words w1..wn (duplicates repeat
 
 Scaling plan (all exact, nothing is capped or sampled):
 
+* inputs are numbered once (``prepare_inputs``): no join, group or window carries a text;
+* a model for one batch is counted from the batch's words alone: a Bloom filter of them stands where tokens are read;
 * the model's term table is first restricted to the input vocabulary (semi join);
 * a place can only score above zero if it holds *every* distinct input word, so candidates are found through
   each input's rarest word (fewest places): at most that many places per input are ever examined;
@@ -16,7 +18,9 @@ Scaling plan (all exact, nothing is capped or sampled):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.text import distinct_lower_tokens, lower_tokens
 from ..session import materialize
+from .bloom import might_hold, word_filter
 from .joins import keep_vocabulary
 
 
@@ -62,6 +67,39 @@ class PlaceModel:
         return PlaceModel(spark.read.parquet(f"{path.rstrip('/')}/class_counts"),
                           spark.read.parquet(f"{path.rstrip('/')}/term_counts"))
 
+    def save_tables(self, name: str, buckets: int, path: str | None = None) -> None:
+        """Store the model as the bucketed tables ``<name>_class_counts`` and ``<name>_term_counts``, in the warehouse or
+        under ``path``.
+
+        Terms are dealt into ``buckets`` by word, once. Every later batch joins them by word where they lie: only the
+        batch's words are shuffled to the buckets, never the terms. Choose buckets so that one fits a task (about 128 MB).
+        """
+        for table, key in (("class_counts", S.PLACE_NAME), ("term_counts", "word")):
+            # Dealt as the buckets are, so that each bucket is one file.
+            rows = getattr(self, table).repartition(buckets, key)
+            writer = rows.write.bucketBy(buckets, key).sortBy(key).format("parquet")
+            if path:
+                writer = writer.option("path", f"{path.rstrip('/')}/{table}")
+            writer.saveAsTable(f"{name}_{table}")
+
+    @staticmethod
+    def from_tables(spark, name: str) -> PlaceModel:
+        """The model of ``save_tables``."""
+        return PlaceModel(spark.table(f"{name}_class_counts"), spark.table(f"{name}_term_counts"))
+
+
+def votes(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME, text: str = S.TEXT) -> DataFrame:
+    """``(place_name, word)``: one row per message and different word, and one with a NULL word per message.
+
+    With ``vocabulary`` tokens meet its Bloom filter where they are read (``bloom``): nearly all rows left are votes for its
+    words, so what is shuffled later follows the vocabulary's words and not the corpus'."""
+    toks = F.coalesce(distinct_lower_tokens(text), F.array().cast("array<string>"))
+    marked = F.concat(F.array(F.lit(None).cast("string")), toks)
+    rows = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(marked).alias("word"))
+    if vocabulary is None:
+        return rows
+    return rows.where(F.col("word").isNull() | might_hold(word_filter(vocabulary), F.col("word")))
+
 
 def place_counts(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S.PLACE_NAME,
                  text: str = S.TEXT) -> DataFrame:
@@ -69,13 +107,11 @@ def place_counts(m: DataFrame, vocabulary: DataFrame | None = None, key: str = S
 
     Every message also emits one NULL marker word, so one (place, word) aggregate yields ``Tc`` (the marker
     rows) and ``Tc,w`` (the word rows): one scan of the text and one shuffle, to which a task sends one row per
-    place and word. With ``vocabulary`` the counted rows are restricted to its words (the markers stay): neither a
+    place and word. With ``vocabulary`` (a written table, or one that is cheap to read again) other words leave before that
+    shuffle (``votes``), and an exact semi join on the counted rows removes the few that the filter let pass: neither a
     frequent word nor the markers are ever shuffled as raw rows.
     """
-    toks = F.coalesce(distinct_lower_tokens(text), F.array().cast("array<string>"))
-    marked = F.concat(F.array(F.lit(None).cast("string")), toks)
-    words = m.select(F.col(key).alias(S.PLACE_NAME), F.explode(marked).alias("word"))
-    counts = words.groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = votes(m, vocabulary, key, text).groupBy(S.PLACE_NAME, "word").agg(F.count(F.lit(1)).alias("n"))
     if vocabulary is None:
         return counts
     vocab = vocabulary.select(F.col(vocabulary.columns[0]).alias("word")).distinct().withColumn("__in", F.lit(True))
@@ -104,6 +140,8 @@ def fit_and_write_place_model(m: DataFrame, vocabulary: DataFrame | None = None,
                               text: str = S.TEXT, name: str = "place-model") -> PlaceModel:
     """Fit in a single pass (``place_counts``) and write the counts once under the shared checkpoint folder;
     the returned model reads the written table (one scan of the text, one shuffle, one write)."""
+    if vocabulary is not None:
+        vocabulary = materialize(vocabulary.distinct(), f"{name}-vocabulary")
     counts = materialize(place_counts(m, vocabulary, key, text), name)
     return model_from_counts(counts, restricted=vocabulary is not None)
 
@@ -123,25 +161,64 @@ def restrict_terms(term_counts: DataFrame, inputs: DataFrame) -> DataFrame:
     return keep_vocabulary(term_counts, input_vocabulary(inputs), "word").select(S.PLACE_NAME, "word", "tcw")
 
 
-# An input's score depends only on its lower-cased text: each different one is scored once, under this name.
+# An input's score depends only on its lower-cased text: each different one is scored once, under this number.
 BAG = "__bag"
 
 
-def _bags(inputs: DataFrame) -> DataFrame:
-    """``(input_id, __bag)``: the lower-cased text of every input."""
-    return inputs.select("input_id", F.lower("text").alias(BAG))
+@dataclass(frozen=True)
+class InputBatch:
+    """Inputs made ready for scoring: ``ids(input_id, __bag)`` and ``words(__bag, word, positions)``, written tables.
+
+    ``__bag`` numbers the different lower-cased texts (NULL for a NULL text). Joins, groups and windows of the scorer carry the
+    number; the text itself crosses one exchange, where the numbers are given out, and is read once, where it is split.
+    """
+
+    ids: DataFrame
+    words: DataFrame
+
+    def vocabulary(self) -> DataFrame:
+        """``word``: the different words of all inputs."""
+        return self.words.select("word").distinct()
+
+
+def text_number(text: Column, seed: int) -> Column:
+    """A number for a text; NULL for NULL."""
+    return F.when(text.isNotNull(), F.xxhash64(F.lit(seed), text))
 
 
-def _score_bags(model: PlaceModel, inputs: DataFrame, with_log: bool) -> DataFrame:
-    """``(__bag, place_name, prob[, log_prob])`` for every different lower-cased text. The distinct input words and the
-    model's rows for them are written once; everything after reads those."""
-    bags = _bags(inputs).select(BAG).distinct()
-    iw = bags.select(BAG, F.posexplode(lower_tokens(BAG)).alias("pos", "word"))
+def prepare_inputs(inputs: DataFrame, hashed: Callable[[Column, int], Column] = text_number) -> InputBatch:
+    """Number the different texts of ``inputs(input_id, text)`` and split each once.
+
+    The number is a hash. Whether two texts share one is checked on the written texts; then another seed is tried.
+    """
+    low = F.lower("text")
+    for seed in count():
+        numbered = inputs.select("input_id", hashed(low, seed).alias(BAG), low.alias("__text"))
+        # The one exchange that carries texts: equal ones are combined before it.
+        texts = numbered.where(F.col(BAG).isNotNull()).groupBy(BAG).agg(F.min("__text").alias("__text"), F.max("__text").alias("__other"))
+        texts = materialize(texts, "input-texts")
+        if not texts.where(F.col("__text") != F.col("__other")).take(1):
+            break
+    words = texts.select(BAG, F.posexplode(lower_tokens("__text")).alias("pos", "word"))
     # Distinct words per text, with the positions at which each occurs (bounded by the text's length).
-    dw = materialize(iw.groupBy(BAG, "word").agg(F.collect_list("pos").alias("positions")), "input-words")
+    words = words.groupBy(BAG, "word").agg(F.collect_list("pos").alias("positions"))
+    return InputBatch(materialize(numbered.select("input_id", BAG), "input-ids"), materialize(words, "input-words"))
+
+
+def _batch(inputs: DataFrame | InputBatch) -> InputBatch:
+    return inputs if isinstance(inputs, InputBatch) else prepare_inputs(inputs)
+
+
+def _score_bags(model: PlaceModel, batch: InputBatch, with_log: bool) -> DataFrame:
+    """``(__bag, place_name, prob[, log_prob])`` for every different lower-cased text. The model's rows for the input
+    words are written once; everything after reads those."""
+    dw = batch.words
     terms = model.term_counts.select(S.PLACE_NAME, "word", "tcw")
     if not model.restricted:
-        terms = materialize(keep_vocabulary(terms, dw.select("word").distinct(), "word"), "input-terms")
+        # The words are written before they are joined: they bring no partitioning of their own, so they are dealt as a
+        # stored model's terms are, and those stay where they lie.
+        words = materialize(batch.vocabulary(), "input-vocabulary")
+        terms = materialize(keep_vocabulary(terms, words, "word"), "input-terms")
 
     # Per input word: in how many places it occurs. Pick each input's rarest word; an input with a word unknown
     # to the model has no candidate at all.
@@ -163,7 +240,7 @@ def _score_bags(model: PlaceModel, inputs: DataFrame, with_log: bool) -> DataFra
                         "positions", lambda p: F.struct(p.alias("pos"), F.col("tcw").alias("tcw"))))).alias("f")))
     full = matched.where(F.col("n_matched") == F.col("n_words")).join(model.class_counts, S.PLACE_NAME)
 
-    factors = F.array_sort("f")  # by position: fold in input-word order
+    factors = F.sort_array("f")  # by position: fold in input-word order
     fold = F.aggregate(factors, F.lit(1.0).cast("double"), lambda acc, x: acc * (x["tcw"] / F.col("tc")))
     prior = F.col("tc") / model.total()
     cols = [BAG, S.PLACE_NAME, (prior * fold).alias("prob")]
@@ -174,21 +251,23 @@ def _score_bags(model: PlaceModel, inputs: DataFrame, with_log: bool) -> DataFra
     return full.select(*cols)
 
 
-def score_places(model: PlaceModel, inputs: DataFrame, with_log: bool = False) -> DataFrame:
+def score_places(model: PlaceModel, inputs: DataFrame | InputBatch, with_log: bool = False) -> DataFrame:
     """``(input_id, place_name, prob)`` for every place holding all words of the input (``prob`` may still be
     0.0 through underflow on long inputs; ``with_log`` adds the finite ``log_prob``). Places missing a word
     score exactly 0 and are not listed."""
-    return _bags(inputs).join(_score_bags(model, inputs, with_log), BAG).drop(BAG)
+    batch = _batch(inputs)
+    return batch.ids.join(_score_bags(model, batch, with_log), BAG).drop(BAG)
 
 
-def predict_place(model: PlaceModel, inputs: DataFrame, rank_by: str = "prob") -> DataFrame:
+def predict_place(model: PlaceModel, inputs: DataFrame | InputBatch, rank_by: str = "prob") -> DataFrame:
     """``(input_id, place_name, prob)``: the best place per input; both of the first two (by name) when the top
     scores are exactly equal; one row with NULL place and prob when the best score is 0 or no place matches.
 
     ``rank_by='log_prob'`` ranks long inputs whose product underflows by the log score instead (then ``prob``
     may be 0.0 in the output). Places are ranked once per different text; equal inputs share the answer.
     """
-    scores = _score_bags(model, inputs, with_log=(rank_by == "log_prob"))
+    batch = _batch(inputs)
+    scores = _score_bags(model, batch, with_log=(rank_by == "log_prob"))
     if rank_by == "log_prob":
         scores = scores.withColumn("__score", F.col("log_prob"))
         positive = F.col("__best").isNotNull()
@@ -200,5 +279,5 @@ def predict_place(model: PlaceModel, inputs: DataFrame, rank_by: str = "prob") -
     top2 = scores.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 2)
     top2 = top2.withColumn("__best", F.max("__score").over(Window.partitionBy(BAG)))
     best = top2.where((F.col("__score") == F.col("__best")) & positive).select(BAG, S.PLACE_NAME, "prob")
-    ids = _bags(inputs).distinct()
+    ids = batch.ids.distinct()
     return ids.join(best, BAG, "left").select("input_id", S.PLACE_NAME, "prob")

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.fmt import escape
 from ..functions.text import FIELD_SEP, tokens
-from .joins import drop_stopwords
+from ..session import materialize
+from .bloom import might_hold, word_filter
+from .joins import drop_stopwords, keep_vocabulary
 from .stats import count_by
 
 
@@ -44,6 +46,37 @@ def word_counts(m: DataFrame, stopwords: DataFrame, country_code: str | None = "
     return out.orderBy(F.desc("n"), F.asc("word")) if ordered else out
 
 
+# Words that the sketch of ``top_words`` follows, and that it may list.
+TRACKED, LISTED = 1 << 16, 1 << 12
+
+
+def top_words(m: DataFrame, stopwords: DataFrame, top: int = 10, country_code: str | None = "US", longer_than: int = 2,
+              tracked: int = TRACKED, listed: int = LISTED) -> DataFrame:
+    """The first ``top`` rows of ``word_counts`` without counting all words: ``word``, ``n``, ranked.
+
+    Spark's frequent-items sketch lists words; they alone are counted exactly, in a second pass over the texts that lets only
+    them pass (``bloom``). No shuffle carries the vocabulary. A word that is not listed occurs at most as often as the last
+    one listed is estimated, or as the sketch's error allows (3.5 / its map's size of all tokens, twice). If the last of the
+    ``top`` words occurs more often than that, the answer is proven; if not (flat counts), all words are counted.
+    Runs one job to see which.
+    """
+    sel = m if country_code is None else m.where(F.col(S.COUNTRY_CODE) == country_code)
+    toks = word_tokens(sel, longer_than=longer_than)
+    # At most ``listed`` words and two numbers: one row, written once.
+    sketch = materialize(toks.agg(F.expr(f"approx_top_k(word, {int(listed)}, {int(tracked)})").alias("found"), F.count(F.lit(1)).alias("n")), "top-words-sketch")
+    likely = sketch.select(F.explode("found").alias("x")).select("x.item")
+    counts = toks.where(might_hold(word_filter(likely), F.col("word"))).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    exact = drop_stopwords(keep_vocabulary(counts, likely), stopwords)
+    best = materialize(exact.orderBy(F.desc("n"), F.asc("word")).limit(top), "top-words")
+    last = F.when(F.size("found") >= listed, F.element_at("found", -1)["count"]).otherwise(0)
+    size = 1 << (tracked * 4 // 3 - 1).bit_length()
+    unseen = sketch.select(F.greatest(last, F.ceil(7 * F.col("n") / size)).alias("most")).first()["most"]
+    found = best.agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("least")).first()
+    if found["rows"] < top or found["least"] <= unseen:
+        best = word_counts(m, stopwords, country_code, longer_than).limit(top)
+    return best.orderBy(F.desc("n"), F.asc("word"))
+
+
 def _place_filter(m: DataFrame, country_code: str | None, place_type: str | None) -> DataFrame:
     if country_code is not None:
         m = m.where(F.col(S.COUNTRY_CODE) == country_code)

@@ -7,15 +7,20 @@ sides; the SQL texts are written independently of the Spark code and serve as th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import bayes, stats, words
-from ..sources.tables import inputs_from_benchmark, messages_from_tables
-from ..sources.sinks import tsv_lines
-from ..sources.tsv import NULL_FIELD, SAMPLE_FIELDS, SAMPLE_FRACTION, parse_lines, sample_limit, stable_sample
+from ..session import ensure_checkpoint_dir
+from ..sources.archives import read_archive_messages
+from ..sources.sinks import tsv_lines, write_lines
+from ..sources.tables import inputs_from_benchmark, messages_from_tables, read_table
+from ..sources.tsv import (NULL_FIELD, SAMPLE_FIELDS, SAMPLE_FRACTION, parse_lines, read_numbered_lines, sample_limit,
+                           stable_sample, write_parquet)
 from ..sources.words import word_list
 
 # Parameters of the registered queries (the message binding maps language codes to upper-case country codes).
@@ -26,6 +31,7 @@ CENTROID_DIGITS = 6
 TOP_PLACES = 5
 TOP_WORDS = 10
 SAMPLE_SEED = 5
+MODEL_BUCKETS = 8
 # The stopword list used by the registered queries.
 STOPWORDS = ("the", "and", "that", "for", "was", "with", "this", "are", "from")
 
@@ -60,10 +66,69 @@ def _model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
     return bayes.fit_place_model(_m(spark, sf_dir))
 
 
-def _batch_model(spark: SparkSession, sf_dir: str) -> bayes.PlaceModel:
-    """Model fitted for one scoring batch: term counts restricted to the batch's words before the shuffle."""
-    vocab = bayes.input_vocabulary(inputs_from_benchmark(spark, sf_dir))
-    return bayes.fit_and_write_place_model(_m(spark, sf_dir), vocabulary=vocab)
+def _batch(spark: SparkSession, sf_dir: str) -> bayes.InputBatch:
+    return bayes.prepare_inputs(inputs_from_benchmark(spark, sf_dir))
+
+
+def _batch_model(spark: SparkSession, sf_dir: str, batch: bayes.InputBatch) -> bayes.PlaceModel:
+    """Model fitted for one scoring batch: other words leave where they are read, before anything is shuffled."""
+    return bayes.fit_and_write_place_model(_m(spark, sf_dir), vocabulary=batch.vocabulary())
+
+
+def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = _batch(spark, sf_dir)
+    return bayes.score_places(_batch_model(spark, sf_dir, batch), batch)
+
+
+def _predict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = _batch(spark, sf_dir)
+    return bayes.predict_place(_batch_model(spark, sf_dir, batch), batch)
+
+
+def _predict_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = bayes.fit_and_write_place_model(_m(spark, sf_dir), name="full-place-model")
+    return bayes.predict_place(model, _batch(spark, sf_dir))
+
+
+def _predict_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model stored in bucketed tables, loaded and asked: its terms are not shuffled again."""
+    name = f"place_model_{uuid.uuid4().hex}"
+    fitted = bayes.fit_and_write_place_model(_m(spark, sf_dir), name="full-place-model")
+    fitted.save_tables(name, MODEL_BUCKETS, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}")
+    return bayes.predict_place(bayes.PlaceModel.from_tables(spark, name), _batch(spark, sf_dir))
+
+
+def _shared(spark: SparkSession, what: str) -> str:
+    """A new folder for a query's files, in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{what}-{uuid.uuid4().hex}"
+
+
+def _parts_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile merged from the parts of each country and place."""
+    return stats.profile_from_parts(stats.profile_parts(_measured(spark, sf_dir), (S.COUNTRY_CODE, S.PLACE_NAME)))
+
+
+def _bounds_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message goes into a Parquet copy; its footers give the bounds."""
+    path = _shared(spark, "message-copy")
+    write_parquet(_m(spark, sf_dir).select(S.LATITUDE, S.LONGITUDE), path)
+    return stats.bounds_from_files(spark, path)
+
+
+def _archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as a line of gzip archives, and the archives' parts read back."""
+    path = _shared(spark, "archives")
+    lines = _m(spark, sf_dir)
+    lines.select(tsv_lines(lines, null=NULL_FIELD).alias("value")).write.option("compression", "gzip").text(path)
+    return read_archive_messages(spark, f"{path}/part-*", "null", r"(part-\d+)", escaped=True)
+
+
+def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line per document, written in order of doc_id and numbered as read."""
+    path = _shared(spark, "lines")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    write_lines(docs, F.concat_ws("|", *docs.columns), path, order_by=["doc_id"])
+    return read_numbered_lines(spark, path).select("number", "value")
 
 
 def queries() -> dict[str, Query]:
@@ -73,6 +138,10 @@ def queries() -> dict[str, Query]:
         "profile_report": lambda spark, d: stats.profile_report(_measured(spark, d)),
         "distinct_values": lambda spark, d: stats.distinct_values(_m(spark, d)),
         "bounds": lambda spark, d: stats.bounds(_m(spark, d)),
+        "profile_from_parts": _parts_by_place,
+        "bounds_from_files": _bounds_from_files,
+        "archive_round_trip": _archive_round_trip,
+        "numbered_lines": _numbered_lines,
         "text_lengths": lambda spark, d: stats.text_lengths(_measured(spark, d)),
         "count_by_country": lambda spark, d: stats.count_by(_m(spark, d), S.COUNTRY_NAME),
         "centroid_by_country": lambda spark, d: stats.centroid_by(
@@ -89,6 +158,8 @@ def queries() -> dict[str, Query]:
             _m(spark, d).where(f"{S.COUNTRY_CODE} = '{COUNTRY_CODE}'"), _stopwords(spark)),
         "word_counts": lambda spark, d: words.word_counts(
             _m(spark, d), _stopwords(spark), country_code=COUNTRY_CODE),
+        "top_words": lambda spark, d: words.top_words(
+            _m(spark, d), _stopwords(spark), TOP_WORDS, COUNTRY_CODE),
         "top_places": lambda spark, d: words.top_groups(
             _m(spark, d), S.PLACE_NAME, TOP_PLACES, COUNTRY_CODE, PLACE_TYPE),
         "top_words_in_top_places": _top_words,
@@ -98,12 +169,10 @@ def queries() -> dict[str, Query]:
         "term_counts": lambda spark, d: _model(spark, d).term_counts,
         "vocabulary_semi": lambda spark, d: bayes.restrict_terms(
             _model(spark, d).term_counts, inputs_from_benchmark(spark, d)),
-        "score_places": lambda spark, d: bayes.score_places(
-            _batch_model(spark, d), inputs_from_benchmark(spark, d)),
-        "predict_place": lambda spark, d: bayes.predict_place(
-            _batch_model(spark, d), inputs_from_benchmark(spark, d)),
-        "predict_place_full_model": lambda spark, d: bayes.predict_place(
-            _model(spark, d).materialize("full-place-model"), inputs_from_benchmark(spark, d)),
+        "score_places": _score_batch,
+        "predict_place": _predict_batch,
+        "predict_place_full_model": _predict_full,
+        "predict_place_stored_model": _predict_stored,
         "sample": lambda spark, d: _m(spark, d).sample(False, 0.01, seed=5),
         "sample_stable": lambda spark, d: stable_sample(_m(spark, d), SAMPLE_FRACTION, SAMPLE_SEED),
     }
@@ -233,7 +302,8 @@ def oracle_sql() -> dict[str, str]:
     w = _with
     return {
         "messages": w(MESSAGES_CTE) + "SELECT * FROM messages",
-        "profile": w(MESSAGES_CTE) + """
+        # Few enough different values that the sketches' estimates are exact.
+        **dict.fromkeys(("profile", "profile_from_parts"), w(MESSAGES_CTE) + """
 SELECT count(*) AS n_messages,
        count(DISTINCT username) AS n_distinct_username,
        count(DISTINCT country_name) AS n_distinct_country_name,
@@ -243,7 +313,7 @@ SELECT count(*) AS n_messages,
        min(longitude) AS min_longitude, max(longitude) AS max_longitude,
        avg(length(tweet_text)) AS avg_chars,
        avg(len(string_split(tweet_text, ' '))) AS avg_words
-FROM messages""",
+FROM messages"""),
         "profile_report": w(MESSAGES_CTE) + """,
 p AS (
   SELECT count(*) AS a, count(DISTINCT username) AS b, count(DISTINCT country_name) AS c,
@@ -273,6 +343,13 @@ FROM messages""",
 SELECT min(latitude) AS min_latitude, max(latitude) AS max_latitude,
        min(longitude) AS min_longitude, max(longitude) AS max_longitude
 FROM messages""",
+        "bounds_from_files": w(MESSAGES_CTE) + """
+SELECT count(*) AS n_messages, min(latitude) AS min_latitude, max(latitude) AS max_latitude,
+       min(longitude) AS min_longitude, max(longitude) AS max_longitude
+FROM messages""",
+        "archive_round_trip": w(MESSAGES_CTE) + "SELECT * FROM messages",
+        "numbered_lines": """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS number, concat_ws('|', doc_id, lang, source) AS value FROM documents""",
         "text_lengths": w(MESSAGES_CTE) + """
 SELECT avg(length(tweet_text)) AS avg_chars, avg(len(string_split(tweet_text, ' '))) AS avg_words
 FROM messages""",
@@ -307,6 +384,10 @@ SELECT word FROM word_tokens WHERE word NOT IN (SELECT word FROM stopwords)""",
 SELECT word, count(*) AS n FROM word_tokens
 WHERE word NOT IN (SELECT word FROM stopwords)
 GROUP BY word ORDER BY n DESC, word""",
+        "top_words": w(MESSAGES_CTE, STOPWORDS_CTE, WORD_TOKENS_CTE) + f"""
+SELECT word, count(*) AS n FROM word_tokens
+WHERE word NOT IN (SELECT word FROM stopwords)
+GROUP BY word ORDER BY n DESC, word LIMIT {TOP_WORDS}""",
         "top_places": w(MESSAGES_CTE, TOP_PLACES_CTE) + "SELECT place_name, place_n FROM top_places",
         "top_words_in_top_places": w(MESSAGES_CTE, STOPWORDS_CTE, TOP_PLACES_CTE, TOP_WORDS_CTE) + """
 SELECT place_name, place_n, r, word, n FROM top_words""",
@@ -322,6 +403,6 @@ FROM top_words GROUP BY place_name, place_n""",
 SELECT place_name, word, tcw FROM term_counts WHERE word IN (SELECT word FROM input_words)""",
         "score_places": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE)
         + "SELECT input_id, place_name, prob FROM scores",
-        "predict_place": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE) + PREDICT_SQL,
-        "predict_place_full_model": w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE) + PREDICT_SQL,
+        **dict.fromkeys(("predict_place", "predict_place_full_model", "predict_place_stored_model"),
+                        w(MESSAGES_CTE, MODEL_CTE, INPUTS_CTE, SCORES_CTE) + PREDICT_SQL),
     }

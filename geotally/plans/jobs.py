@@ -6,6 +6,7 @@ lines from the executors. Usage from the command line::
     python -m geotally analyses -m messages.tsv -o out/ [--stopwords sw.txt] [--sample]
     python -m geotally predict -t training.tsv -i inputs.txt -o predictions/ [-s]
     python -m geotally convert -m messages.tsv -o messages.parquet [--partition-by country_code]
+    python -m geotally convert -m 'messages.tsv.gz.part*' --gz-parts -o messages.parquet
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.text import FIELD_SEP
 from ..operators import bayes, stats, words
-from ..session import materialize, written_table
+from ..session import written_table
 from ..sources import sinks, tsv
+from ..sources.archives import read_archive_messages
 from ..sources.words import read_stopwords, word_list
 
 
@@ -108,14 +110,15 @@ def predict_files(spark: SparkSession, training: str, inputs: str, output: str,
     model restricted to the inputs' words is fitted and written once to the shared checkpoint folder.
     Returns the (lazy) predictions DataFrame; evaluating it again recomputes from the written model.
     """
-    # Written once: every later use sees the same numbering of the lines.
-    ins = materialize(tsv.read_inputs(spark, inputs), "inputs")
+    # Numbered from lines that were written once: every later use sees the same numbers.
+    ins = tsv.read_inputs(spark, inputs)
+    batch = bayes.prepare_inputs(ins)
     if full_model:
         model = bayes.PlaceModel.load(spark, full_model)
     else:
         m = load_messages(spark, training, training_format, sample=sample, seed=seed)
-        model = bayes.fit_and_write_place_model(m, vocabulary=bayes.input_vocabulary(ins), name="predict-model")
-    pred = bayes.predict_place(model, ins)
+        model = bayes.fit_and_write_place_model(m, vocabulary=batch.vocabulary(), name="predict-model")
+    pred = bayes.predict_place(model, batch)
     sinks.write_predictions(pred, output, mode=mode, inputs=ins if with_text else None)
     return pred
 
@@ -143,14 +146,17 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("convert", help="convert tab-separated messages to Parquet once")
     c.add_argument("-m", "--messages", required=True)
     c.add_argument("-o", "--output", required=True)
+    c.add_argument("--gz-parts", action="store_true", help="the files are parts of gzip archives, cut by bytes")
+    c.add_argument("--archive-pattern", help="its first group tells the archive from a part's name (else all are one)")
     c.add_argument("--on-bad", default="fail", choices=["fail", "null"])
     c.add_argument("--partition-by", nargs="*", default=[])
     c.add_argument("--master", default=None)
     args = parser.parse_args(argv)
     spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
     if args.cmd == "convert":
-        tsv.write_parquet(tsv.read_messages(spark, args.messages, args.on_bad), args.output,
-                          partition_by=tuple(args.partition_by))
+        m = (read_archive_messages(spark, args.messages, args.on_bad, args.archive_pattern) if args.gz_parts
+             else tsv.read_messages(spark, args.messages, args.on_bad))
+        tsv.write_parquet(m, args.output, partition_by=tuple(args.partition_by))
     elif args.cmd == "analyses":
         m = load_messages(spark, args.messages, args.format, sample=args.sample)
         sw = read_stopwords(spark, args.stopwords) if args.stopwords else None

@@ -10,18 +10,19 @@ Rows that are short or carry a non-numeric value in a numeric field are handled
 * ``"quarantine"``: returns ``(good, bad)``: typed rows with every field valid, and the raw bad lines.
 
 Compressed inputs (``*.gz``) are read as is; gzip is not splittable, so each file becomes one task: convert large
-gz inputs to Parquet once (``write_parquet``) and run the analyses on that.
+gz inputs to Parquet once (``write_parquet``) and run the analyses on that. Archives that were cut into parts: ``archives``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.fmt import unescape
 from ..functions.text import FIELD_SEP
+from ..session import materialize
 
 ON_BAD = ("fail", "null", "quarantine")
 # Fixed value: NULL in an escaped line.
@@ -120,17 +121,32 @@ def stable_sample(m: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = 5
     return m.where(F.substring(h, 1, HEX_DIGITS) < F.lit(sample_limit(fraction)))
 
 
+def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, line_no, number, value)``: every line with its place in its file and its place among all files, from 0.
+
+    Files follow each other by name. Numbers are dense and the same for any split size: a line's place is its place in its
+    split plus the lines of the splits before it, counted once. Lines are written once as read (so that the places in a split are
+    those that were counted, whatever happens to an executor) and never sorted; per split one row is ordered.
+    """
+    at = F.monotonically_increasing_id()  # increases by one within a split
+    lines = materialize(spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__start"), at.alias("__at"), "value"), "lines")
+    splits = lines.groupBy("file", "__start").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("file").agg(F.sum("n").alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__files"))
+    shifts = splits.select("file", "__start", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift")).join(files, "file")
+    return lines.join(shifts, ["file", "__start"]).select(
+        "file", (F.col("__at") + F.col("__shift")).alias("line_no"), (F.col("__at") + F.col("__shift") + F.col("__files")).alias("number"), "value")
+
+
 def read_inputs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Prediction inputs ``(input_id, text)``: one input per line, all lines kept.
 
-    ``input_id`` increases with the file name, then with the place in the file: lines are sorted by file, by the split's
-    first byte and by their place in the split (Spark deals out splits by size). It is unique but not dense. A later
-    evaluation may number the same lines differently: write the inputs once if they are used more than once.
+    ``input_id`` is the line's number over all files (by name, then by place in the file), from 0: dense, and the same for
+    any splits and whenever the result is evaluated.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
-        F.monotonically_increasing_id().alias("__at"), F.col("value").alias("text"))
-    return lines.orderBy("__file", "__start", "__at").select(F.monotonically_increasing_id().alias("input_id"), "text")
+    return read_numbered_lines(spark, path).select(F.col("number").alias("input_id"), F.col("value").alias("text"))
 
 
 def write_parquet(m: DataFrame, path: str, mode: str = "errorifexists",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
-from ..operators import bayes
+from ..operators import bayes, stats
 from ..sources.tsv import parse_lines
 
 
@@ -83,3 +83,23 @@ def read_running_model(spark: SparkSession, model_dir: str) -> bayes.PlaceModel:
     counts = spark.read.parquet(f"{model_dir.rstrip('/')}/counts").groupBy(S.PLACE_NAME, "word").agg(
         F.sum("n").cast("long").alias("n"))
     return bayes.model_from_counts(counts)
+
+
+def start_profile_updates(stream: DataFrame, profile_dir: str, checkpoint: str | None = None,
+                          available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
+    """Per micro-batch one row of mergeable profile parts (counts, bounds, distinct-count sketches) under ``profile_dir``."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        _write_partial(stats.profile_parts(df), batch_id, f"{profile_dir.rstrip('/')}/parts")
+
+    writer = stream.writeStream.foreachBatch(batch).option(
+        "checkpointLocation", checkpoint or f"{profile_dir.rstrip('/')}/_checkpoint")
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def read_running_profile(spark: SparkSession, profile_dir: str) -> DataFrame:
+    """The profile of everything streamed so far, from the stored parts alone."""
+    return stats.profile_from_parts(spark.read.parquet(f"{profile_dir.rstrip('/')}/parts"))

@@ -8,7 +8,10 @@ neighbouring entries are neighbouring positions of a piece. Each round, for phra
    frequency and its global number (that of its first row; phrases of one length never share one);
 2. semi-join: the numbers of the frequent phrases go back to the blocks that hold them, and occurrences of all others leave the relation;
 3. merge-join: the sorted relation meets itself by piece and adjacent position. Two frequent phrases of k words that start at
-   neighbouring positions make one of k + 1; these are numbered and persisted as the next relation.
+   neighbouring positions make one of k + 1; these are numbered by the next round's group-count.
+
+Only R1 and the numbers of frequent phrases are persisted; R2 and on are made again from them in their block, which is cheaper than to
+store them.
 
 A phrase of k + 1 words is known by the global numbers of the phrases that it begins and ends with. So occurrences never cross
 a shuffle by their word, a word or phrase of any frequency is one row per block, and the vocabulary is neither broadcast nor held
@@ -33,18 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, table, written
+from .common import discard, release, table, written
 
-MAX_WORDS, LEAST, TOP, SHARE = 3, 10, 2000, 50
+MAX_WORDS, LEAST, TOP, SHARE, SHARES = 3, 10, 2000, 50, 32
 UNKNOWN = "und"
 #: Entries after which a block of texts is closed, entries of a stored chunk, rows of an Arrow batch.
-BLOCK, CHUNK, ROWS = 3 << 21, 1 << 17, 1 << 16
+BLOCK, CHUNK, ROWS = 3 << 20, 1 << 17, 1 << 16
 #: Bytes that end a piece, and what they become; it is no part of UTF-8.
 ENDS, END = b".,;:!?\x0a\x0b\x0c\x0d", b"\xff"
 LOWER = bytes(END[0] if c in ENDS else c + 32 if 65 <= c <= 90 else c for c in range(256))
-WORD, CODES = 0, 1
+#: Kinds of rows of a block: its phrases of k words have k.
+WORD, CODES = 1, 99
 RELATION = "block long, kind int, no int, lang binary, word binary, n long, codes binary"
-GROUPS = "block long, kind int, no int, a long, b long, n long, codes binary"
+GROUPS = "block long, no int, a long, b long, n int"
 
 
 class Numbers(dict):
@@ -111,68 +115,83 @@ def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close()
 
 
-def _extender(persist: bool):
-    """Blocks (the numbers of their frequent phrases, then their sequence) to those of phrases of one word more."""
-    def joined(block: int, known: list[tuple[np.ndarray, np.ndarray]], chunks: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        codes = np.concatenate(chunks)
-        own, numbers = (np.concatenate(x) for x in zip(*known, strict=True))
-        width = int(max(codes.max(initial=0), own.max(initial=0))) + 1
-        name = np.full(width, -1, np.int64)
-        name[own] = numbers
+def _count(block: int, heads: dict[int, list[tuple[np.ndarray, np.ndarray]]], codes: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """A row for each phrase of ``size`` words in a block. ``heads[k]``: places among the block's phrases of k words, and
+    global numbers, of the frequent ones."""
+    own, name = (np.concatenate(x) for x in zip(*heads[1], strict=True))
+    names = np.full(int(max(codes.max(initial=0), own.max(initial=0))) + 1, -1, np.int64)
+    names[own] = name
+    for k in range(1, size):
         # The semi-join, then the merge-join of each occurrence with that at the next position of its piece.
-        stays = name[codes] >= 0
-        both = np.nonzero(stays[:-1] & stays[1:])[0]
-        keys = codes[both].astype(np.int64) * width + codes[both + 1]
-        if persist:
-            pairs, of, n = np.unique(keys, return_inverse=True, return_counts=True)
-        else:
-            pairs, n = np.unique(keys, return_counts=True)
-        del keys
-        a, b = name[pairs // width], name[pairs % width]
-        for at in range(0, len(pairs), ROWS):
-            size = len(a[at : at + ROWS])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, block)), pa.array(np.full(size, WORD, np.int32)), pa.array(np.arange(at + 1, at + 1 + size, dtype=np.int32)), pa.array(a[at : at + ROWS]),
-                 pa.array(b[at : at + ROWS]), pa.array(n[at : at + ROWS]), pa.nulls(size, pa.binary())], names=["block", "kind", "no", "a", "b", "n", "codes"])
-        if persist and len(pairs):
-            longer = np.zeros(len(codes), np.int32)
-            longer[both] = of + 1
-            for no, (chunk, at) in enumerate(zip(_chunks(longer), range(0, len(longer), CHUNK), strict=True)):
-                row = [block, CODES, no, None, None, min(CHUNK, len(longer) - at), chunk]
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["block", "kind", "no", "a", "b", "n", "codes"])
-
+        stays = names[codes] >= 0
+        both = np.nonzero(stays[:-1] & stays[1:])[0].astype(np.int32)
+        del stays
+        keys = codes[both].astype(np.int64)
+        keys *= len(names)
+        keys += codes[both + 1]
+        if k + 1 == size:
+            break
+        if k + 1 not in heads:
+            return
+        own, name = (np.concatenate(x) for x in zip(*heads[k + 1], strict=True))
+        frequent = np.unique(keys)[own - 1]
+        at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+        held = frequent[at] == keys
+        codes = np.zeros(len(codes), np.int32)
+        codes[both[held]] = at[held] + 1
+        names = np.concatenate(([-1], name))
+        del keys, at, held, both
+    pairs, n = np.unique(keys, return_counts=True)
+    del keys, both, codes
+    for at in range(0, len(pairs), ROWS):
+        part = pairs[at : at + ROWS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(part), block)), pa.array(np.arange(at + 1, at + 1 + len(part), dtype=np.int32)), pa.array(names[part // len(names)]), pa.array(names[part % len(names)]),
+             pa.array(n[at : at + ROWS].astype(np.int32))], names=["block", "no", "a", "b", "n"])
+
+
+def _counter(size: int):
+    """Blocks (frequent phrases by length, then the sequence of words) to their phrases of ``size`` words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, known, chunks = None, [], []
+        current, heads, chunks = None, {}, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if 1 in heads and chunks:
+                yield from _count(current, heads, np.concatenate(chunks), size)
+
         for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            cuts = [0, *(np.nonzero(np.diff(blocks))[0] + 1).tolist(), len(blocks)]
+            block, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.nonzero((np.diff(block) != 0) | (np.diff(kind) != 0))[0] + 1
+            cuts = [0, *cuts.tolist(), len(block)]
             for begin, end in zip(cuts, cuts[1:], strict=False):
                 if begin == end:
                     continue
-                if blocks[begin] != current:
-                    if known and chunks:
-                        yield from joined(current, known, chunks)
-                    current, known, chunks = int(blocks[begin]), [], []
+                if block[begin] != current:
+                    yield from close()
+                    current, heads, chunks = int(block[begin]), {}, []
                 part = batch.slice(begin, end - begin)
-                words = part.column(1).to_numpy() == WORD
-                stop = int(words.sum())  # phrases stand before the sequence
-                if stop:
-                    known.append((part.column(2).to_numpy()[:stop], part.column(3).to_numpy()[:stop]))
-                for chunk, size in zip(part.column(4)[stop:], part.column(3)[stop:], strict=True):
-                    chunks.append(_codes(chunk.as_py(), size.as_py()))
-        if known and chunks:
-            yield from joined(current, known, chunks)
+                if kind[begin] == CODES:
+                    chunks += [_codes(chunk.as_py(), size_.as_py()) for chunk, size_ in zip(part.column(4), part.column(3), strict=True)]
+                else:
+                    heads.setdefault(int(kind[begin]), []).append((part.column(2).to_numpy(), part.column(3).to_numpy()))
+        yield from close()
+        pa.default_memory_pool().release_unused()
     return run
 
 
+def _own():
+    return F.shiftleft("block", 32).bitwiseOR(F.col("no").cast("long"))
+
+
 def _frequent(rows: DataFrame, identity: list[str], least: int, name: str) -> DataFrame:
     """(block, no, number, f, identity) of the phrases that occur ``least`` times or more in all blocks together.
 
     A phrase has one row per block at most, whatever its frequency."""
     same = Window.partitionBy(*identity)
-    own = F.shiftleft("block", 32).bitwiseOR(F.col("no").cast("long"))
-    met = rows.select("block", "no", *identity, F.sum("n").over(same).alias("f"), F.min(own).over(same).alias("number"))
-    return written(met.where(F.col("f") >= least), name)
+    # Narrow rows: place and number of a phrase's block in one long, its count there as an integer.
+    packed = rows.select(_own().alias("own"), *identity, F.col("n").cast("int").alias("n"))
+    met = packed.select("own", *identity, F.sum("n").over(same).alias("f"), F.min("own").over(same).alias("number"))
+    return written(met.where(F.col("f") >= least).select(F.shiftright("own", 32).alias("block"), F.col("own").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("no"), *identity, "f", "number"), name)
 
 
 def mine(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -184,29 +203,32 @@ def mine(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) -> tup
     relation = written(source.mapInArrow(_read_blocks, RELATION), "occurrences")
     words = relation.where(F.col("kind") == WORD)
     totals = written(words.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.sum("n").alias("n")), "totals")
-    local = _frequent(words, ["lang", "word"], least, "frequent-words")
-    whole = F.col("number") == F.shiftleft("block", 32).bitwiseOR(F.col("no").cast("long"))
+    local = words_ = _frequent(words, ["lang", "word"], least, "frequent-words")
+    whole = F.col("number") == _own()
     one = F.array("f")
     phrases = local.where(whole).select(F.col("lang").cast("string").alias("lang"), F.array(F.col("word").cast("string")).alias("words"), "f",
                                         one.alias("prefixes"), one.alias("suffixes"), "number", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"))
     phrases = written(phrases, "phrases")
     found = phrases
+    release(docs.sparkSession)
+    heads = []
     for size in range(2, max_words + 1):
-        heads = local.select("block", F.lit(WORD).alias("kind"), "no", "number", F.lit(None).cast("binary").alias("codes"))
+        heads.append(local.select("block", F.lit(size - 1).alias("kind"), "no", "number", F.lit(None).cast("binary").alias("codes")))
         # The place of the number holds a chunk's length in its rows.
-        tails = relation.where(F.col("kind") == CODES).select("block", "kind", "no", F.col("n").alias("number"), "codes")
-        met = heads.union(tails).repartition("block").sortWithinPartitions("block", "kind", "no")
-        longer = written(met.mapInArrow(_extender(size < max_words), GROUPS), "longer")
-        discard(relation)
-        relation = longer
-        local = _frequent(longer.where(F.col("kind") == WORD), ["a", "b"], least, "frequent")
+        met = relation.where(F.col("kind") == CODES).select("block", "kind", "no", F.col("n").alias("number"), "codes")
+        for rows in heads:
+            met = met.union(rows)
+        met = met.repartition("block").sortWithinPartitions("block", "kind", "no")
+        local = _frequent(met.mapInArrow(_counter(size), GROUPS), ["a", "b"], least, "frequent")
+        release(docs.sparkSession)
         left = phrases.select(F.col("number").alias("a"), "lang", "words", "prefixes")
         right = phrases.select(F.col("number").alias("b"), F.element_at("words", -1).alias("last"), "suffixes")
         made = local.where(whole).select("number", "a", "b", "f").join(left, "a").join(right, "b").select(
             "lang", F.concat("words", F.array("last")).alias("words"), "f", F.concat("prefixes", one).alias("prefixes"), F.concat("suffixes", one).alias("suffixes"), "number", "a", "b")
         phrases = written(made, "phrases")
         found = found.union(phrases)
-    discard(relation)
+    for table_ in (relation, words_, local):
+        discard(table_)
     return found, totals
 
 
@@ -226,9 +248,12 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST
     cuts = kept.select("lang", F.array_join("words", " ").alias("phrase"), big(F.col("f")).alias("a"), F.transform(F.sequence(F.lit(1), F.size("words") - 1), cut).alias("cuts"))
     scored = cuts.select("lang", "phrase", "a", F.expr("array_min(transform(cuts, c -> struct((1000000BD * (a * a)) div (c.l * c.r) AS score, c.k AS k, c.l AS l, c.r AS r)))").alias("best"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # The best of each share of a language first, so that few rows of a large one meet, however many tasks there are.
+    shares = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     long = lambda c: F.col(c).cast("long").alias(c.split(".")[-1])
     rows = scored.select("lang", "phrase", long("a"), long("best.l"), long("best.r"), long("best.score"))
-    best = rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    some = rows.withColumn("rank", F.row_number().over(shares)).where(F.col("rank") <= top)
+    best = some.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

@@ -300,8 +300,8 @@ def proofs(manifest: Manifest) -> DataFrame:
     spark = manifest.leaves.sparkSession
     if manifest.root is None:
         return spark.createDataFrame([], PROOF)
-    none = F.array().cast(PATH)
-    upper = paths(manifest.over, spark.range(1).select(F.lit("").alias("tree"), none.alias("path")))
+    # The root itself has no path.
+    upper = paths(manifest.over, manifest.over[-1].select("tree", F.array().cast(PATH).alias("path")))
     upper = manifest.over[0].join(upper, ["tree", "block"]).select("tree", "block", "size", "nodes", "path").mapInArrow(_descend, f"tree string, idx long, path {PATH}")
     tops = written(manifest.places.join(upper.select("idx", "path"), "idx").select("tree", "path"), "tops")
     ways = paths(manifest.rounds, tops)

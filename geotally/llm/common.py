@@ -7,7 +7,11 @@ import re
 import sys
 import types
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +75,17 @@ def worker_cache(name: str) -> dict:
     return holder["cache"]
 
 
+def slices(batch: pa.RecordBatch, size: int, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``size`` bytes of the texts in a column (one text at least)."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 #: Words of the corpus operators are runs of anything but these six ASCII blanks (a Java and Python pattern).
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"

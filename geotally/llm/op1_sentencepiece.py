@@ -6,8 +6,8 @@ segments the *normalised* text with a copy of the model whose own normaliser is
 projected through the alignment to its span of UTF-8 bytes in the source.
 
 Pieces only hold the word mark at their start, so a normalised text falls apart into runs of marks with the word
-behind them; such a chunk is segmented once per worker and remembered. A model with other pieces is segmented
-text by text.
+behind them; such a chunk is segmented once per worker and remembered, as long as a bounded number of bytes allows; chunks of
+over ``LONG_CHUNK`` characters are not. A model with other pieces is segmented text by text.
 
 Defined results: a null text is empty; an empty text has only the begin and end ids; repeated rows are encoded each by
 itself; columns other than doc_id and text are ignored. Texts are never cut.
@@ -21,17 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, worker_cache
+from .common import slices, table, worker_cache
 
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-SLICE_BYTES = 4 << 20
-#: Chunks that a worker remembers before it starts anew.
-MEMORY = 300_000
+SLICE_BYTES = 1 << 20
+#: Bytes that the chunks which a worker remembers may take, about; longer chunks are not remembered; chunks segmented at a time.
+MEMORY_BYTES, LONG_CHUNK, GROUP = 24 << 20, 48, 1 << 16
+#: What a remembered chunk takes beside its characters and ids.
+ENTRY = 200
 ENCODED = "doc_id long, ids array<int>, begins array<int>, ends array<int>"
 
 
@@ -92,7 +93,10 @@ class Model:
         self.unknown = self.decoder.unk_id()
         self.has_bytes = proto.trainer_spec.byte_fallback
         self.in_chunks = self.escape and not any(re.search(f"[^{MARK}]{MARK}", p.piece) for p in proto.pieces)
+        # Chunks of late, and those before them; the latter go when the former have taken half of the room.
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def normalise(self, raw: bytes) -> tuple[bytes, np.ndarray]:
         """The normalised text, and for each of its bytes and its end the source offset."""
@@ -159,19 +163,36 @@ class Model:
         chunks = text.split(MARK)[1:]
         if "" in chunks:  # runs of marks belong to the word behind them
             chunks = [c[1:] for c in CHUNKS.findall(text)]
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
-        if fresh := list(set(chunks).difference(self.memory)):
+        return np.frombuffer(b"".join(self._group(chunks[i : i + GROUP]) for i in range(0, len(chunks), GROUP)), "<u4")
+
+    def _group(self, chunks: list[str]) -> bytes:
+        """Ids of some chunks. What is remembered after it has a bounded size, whatever the chunks."""
+        memory = self.memory
+        fresh = set(chunks).difference(memory)
+        for c in [c for c in fresh if c in self.older]:
+            memory[c] = self.older[c]
+            self.held += ENTRY + len(c) + len(memory[c])
+            fresh.remove(c)
+        fresh = list(fresh)
+        if fresh:
             # Segmented side by side as one text: no piece reaches over a mark.
             plain = [c for c in fresh if c and c[0] != MARK] if self.has_bytes else []
             ids = np.array(self.segmenter.encode(MARK + MARK.join(plain)) if plain else [], "<u4")
             ends = np.cumsum([len(c.encode()) + 3 for c in plain])
             cuts = [0, *(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()]
             raw = ids.tobytes()
-            self.memory.update((c, raw[4 * x : 4 * y]) for c, x, y in zip(plain, cuts, cuts[1:], strict=False))
+            memory.update((c, raw[4 * x : 4 * y]) for c, x, y in zip(plain, cuts, cuts[1:], strict=False))
             for c in set(fresh).difference(plain):
-                self.memory[c] = np.array(self.segmenter.encode(MARK + c), "<u4").tobytes()
-        return np.frombuffer(b"".join(map(self.memory.__getitem__, chunks)), "<u4")
+                memory[c] = np.array(self.segmenter.encode(MARK + c), "<u4").tobytes()
+        out = b"".join(map(memory.__getitem__, chunks))
+        for c in fresh:
+            if len(c) > LONG_CHUNK:
+                del memory[c]
+            else:
+                self.held += ENTRY + len(c) + len(memory[c])
+        if self.held > MEMORY_BYTES // 2:
+            self.memory, self.older, self.held = {}, memory, 0
+        return out
 
     def encode(self, raw: bytes | None, bos: bool = True, eos: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the source bytes [begin, end) of each; begin and end ids have empty spans at the text's edges."""
@@ -201,23 +222,12 @@ def worker_model(serialized: bytes) -> Model:
     return models[key]
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of a bounded number of text bytes (one text at least)."""
-    ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def encoder(model):
     """Batches (doc_id, text as bytes) to batches (doc_id, ids, begins, ends)."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = worker_model(model.value)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE_BYTES):
                 found = [own.encode(text) for text in part.column(1).to_pylist()]
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x[0]) for x in found]))), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x[i] for x in found]).astype(np.int32))) for i in range(3)]

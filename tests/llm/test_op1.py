@@ -69,7 +69,24 @@ def test_normalisation_and_alignment_match_the_library(rule, dummy, squeeze, esc
 
 
 def test_memory_may_run_out(monkeypatch):
-    monkeypatch.setattr(op, "MEMORY", 3)
+    monkeypatch.setattr(op, "MEMORY_BYTES", 2000)
     model, lib = op.Model(open(PATH, "rb").read()), library()
     for text in ["a b c d e f g", "a h i", " b  c d", "x y z a"]:
         assert model.encode(text.encode())[0].tolist() == lib.encode(text, add_bos=True, add_eos=True)
+
+
+def test_memory_stays_within_its_bytes_for_many_and_for_long_chunks():
+    import tracemalloc
+
+    own = op.Model(open(op.default_model(), "rb").read())
+    rnd = random.Random(5)
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for i in range(30):  # 300,000 different chunks, and texts without a blank
+        own.encode(" ".join(f"w{rnd.getrandbits(60)}" for _ in range(10_000)).encode())
+        own.encode("".join(chr(0x4E00 + rnd.randrange(5000)) for _ in range(20_000)).encode())
+    assert tracemalloc.get_traced_memory()[0] - before < 1.3 * op.MEMORY_BYTES
+    assert max(map(len, {**own.memory, **own.older})) <= op.LONG_CHUNK
+    tracemalloc.stop()
+    text = " ".join(f"word{i % 700} x{i}" for i in range(200_000))
+    assert own.encode(text.encode())[0].tolist() == [own.bos, *own.decoder.encode(text), own.eos]

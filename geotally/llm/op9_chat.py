@@ -36,7 +36,8 @@ SPANS = "array<struct<start:int,end:int>>"
 @dataclass(frozen=True)
 class Mapping:
     """How a layout's fields become turns. Either ``turns`` names a list and the fields of its elements, or ``fields``
-    lists (role, paths): the texts at the paths, joined by a blank line, are one turn."""
+    lists (role, paths): the texts at the paths, joined by a blank line, are one turn. ``rename``: the list's roles may
+    have other names (``ROLES``)."""
 
     name: str
     needs: frozenset[str]
@@ -44,12 +45,13 @@ class Mapping:
     turns: tuple[str, str, str] | None = None
     order: str | None = None
     fields: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    rename: bool = True
 
 
-def _list(name: str, at: str, role: str, text: str, order: str | None = None, also: tuple[str, ...] = ()) -> Mapping:
+def _list(name: str, at: str, role: str, text: str, order: str | None = None, also: tuple[str, ...] = (), rename: bool = True) -> Mapping:
     may = [f"{at}[].{text}", *([f"{at}[].{order}"] if order else []), *also]
     lead = tuple(("system", (x,)) for x in also)
-    return Mapping(name, frozenset([f"{at}[].{role}"]), frozenset(may), (at, role, text), order, lead)
+    return Mapping(name, frozenset([f"{at}[].{role}"]), frozenset(may), (at, role, text), order, lead, rename)
 
 
 def _flat(name: str, *fields: tuple[str, tuple[str, ...]], may: tuple[str, ...] = ()) -> Mapping:
@@ -58,7 +60,7 @@ def _flat(name: str, *fields: tuple[str, tuple[str, ...]], may: tuple[str, ...]
 
 
 MAPPINGS = (
-    _list("turn_rows", "turns", "role", "text", order="turn"),
+    _list("turn_rows", "turns", "role", "text", order="turn", rename=False),
     _list("messages", "messages", "role", "content", also=("system",)),
     _list("from_value", "conversations", "from", "value", also=("system",)),
     _flat("instruction", ("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",)), may=("system", "input")),
@@ -66,7 +68,7 @@ MAPPINGS = (
     _flat("prompt_response", ("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)), may=("system",)),
     _flat("question_answer", ("system", ("context",)), ("user", ("question",)), ("assistant", ("answer",)), may=("context",)),
 )
-#: Other names of the canonical roles; a role that is not listed stays as it is.
+#: Other names of the canonical roles in foreign layouts; a role that is not listed stays as it is, and so do all in rows by turn.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -117,7 +119,8 @@ def apply_mapping(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
         if mapping.order:
             key = mapping.order
             items.sort(key=lambda x: (x.get(key) is not None, x.get(key) or 0))
-        out += [(ROLES.get(_text(x.get(role)), _text(x.get(role))), _text(x.get(text))) for x in items]
+        names = ROLES if mapping.rename else {}
+        out += [(names.get(_text(x.get(role)), _text(x.get(role))), _text(x.get(text))) for x in items]
     return out
 
 

@@ -50,6 +50,7 @@ def test_any_turns_read_back():
     ([(1, 1, "assistant", None), (1, 0, "user", "q"), (1, 1, "assistant", "b")], [("user", "q"), ("assistant", ""), ("assistant", "b")]),
     ([(None, None, None, None)], [("", "")]),
     ([(2, 0, "user", "x"), (2, 0, "user", "x")], [("user", "x"), ("user", "x")]),
+    ([(3, 0, "human", "x"), (3, 1, "model", "y"), (3, 2, "gpt", "z")], [("human", "x"), ("model", "y"), ("gpt", "z")]),
 ])
 def test_rows_by_turn(spark, rows, expected):
     df = spark.createDataFrame([(*r, "c") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
@@ -60,3 +61,16 @@ def test_rows_by_turn(spark, rows, expected):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert op.read_digests(op.format_chat(op.canonical_turns(op.turn_records(empty)))).count() == 0
+
+
+def test_query_equals_its_twin_on_foreign_role_names(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, 0, "human", "a <| b"), (1, 1, "model", "c"), (2, 0, "prompter", None), (2, 1, "assistant", "d"), (3, 0, "bot", "e"), (3, 1, "gpt", "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    df = op.op9_chat(spark, str(tmp_path))
+    twin = con.execute(op.SQL)
+    at = [[d[0] for d in twin.description].index(c) for c in df.columns]
+    assert sorted(map(tuple, df.collect())) == sorted(tuple(r[i] for i in at) for r in twin.fetchall())

@@ -13,12 +13,15 @@ but by a rule; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
 
-#: Suffixes of two labels under which each name is a site of its own; any other host's suffix is its last label.
+#: The rules unless others are given. Suffixes under which each name is a site of its own; any other host's suffix is its last label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in", "example.com", "example.net", "example.org")
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 LIMIT, Z = 0.5, 1.645
@@ -42,14 +45,46 @@ def longest_rule(rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
-
-
-def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+@dataclass(frozen=True)
+class Suffixes:
+    """Under which names sites are registered. A rule is a suffix (``co.uk``), a wildcard (``*.ck``: each name under ``ck`` is one), or an
+    exception to a wildcard (``!www.ck``). The longest that fits a host counts; without one its last label is the suffix."""
+
+    exact: frozenset[str] = frozenset(TWO_LABEL_SUFFIXES)
+    wild: frozenset[str] = frozenset()
+    exceptions: frozenset[str] = frozenset()
+
+    @staticmethod
+    def of(rules: Iterable[str]) -> Suffixes:
+        """From lines of the public list's format; empty lines and those that begin with ``//`` say nothing."""
+        lines = [x.split()[0].translate(str.maketrans(UPPER, LOWER)) for x in rules if x.strip() and not x.startswith("//")]
+        return Suffixes(frozenset(x for x in lines if x[0] not in "*!"), frozenset(x[2:] for x in lines if x.startswith("*.")), frozenset(x[1:] for x in lines if x[0] == "!"))
+
+    @staticmethod
+    def read(spark: SparkSession, path: str) -> Suffixes:
+        """From a text file of rules: a list of some thousand lines, which the driver holds."""
+        return Suffixes.of(r["value"] for r in spark.read.text(path).toLocalIterator())
+
+    def labels(self, host: Column) -> Column:
+        """How many labels of the host are its suffix."""
+        depth = 1 + max((x.count(".") + 1 for x in (*self.exact, *self.wild, *self.exceptions)), default=0)
+        found = F.lit(1)
+        for k in range(1, depth + 1):
+            last = F.substring_index(host, ".", -k)
+            long = F.size(F.split(host, "\\.")) >= k  # else the host has no k labels, and ``last`` is all of it
+            listed = last.isin(*sorted(self.exact)) if self.exact else F.lit(False)
+            if self.wild and k > 1:
+                listed = listed | F.substring_index(host, ".", 1 - k).isin(*sorted(self.wild))
+            found = F.when(long & listed, k).otherwise(found)
+            if self.exceptions and k > 1:
+                found = F.when(long & last.isin(*sorted(self.exceptions)), k - 1).otherwise(found)
+        return found
+
+    def parts(self, host: Column) -> tuple[Column, Column]:
+        """The registered domain and the suffix of a host."""
+        pieces, n = F.split(host, "\\."), self.labels(host)
+        last = lambda k: F.array_join(F.slice(pieces, F.greatest(F.size(pieces) - k + 1, F.lit(1)), k), ".")
+        return last(n + 1), last(n)
 
 
 def strength(units: DataFrame) -> float:
@@ -75,9 +110,10 @@ def outcomes(addresses: DataFrame, labels: DataFrame) -> DataFrame:
     return shown.join(judged, "doc_id").groupBy("host").agg(F.sum(F.col("pages") * F.col("n")).alias("n"), F.sum(F.col("pages") * F.col("bad")).alias("bad"))
 
 
-def reputations(hosts: DataFrame, found: DataFrame, z: float = Z) -> DataFrame:
+def reputations(hosts: DataFrame, found: DataFrame, z: float = Z, suffixes_: Suffixes = Suffixes()) -> DataFrame:
     """host, n, bad, posterior mean ``rate`` and its lower ``bound`` for every one of ``hosts``."""
-    seen = written(found.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "outcomes")
+    domain, suffix = suffixes_.parts(F.col("host"))
+    seen = written(found.withColumns({"domain": domain, "suffix": suffix}), "outcomes")
     domains = seen.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = seen.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
@@ -90,7 +126,7 @@ def reputations(hosts: DataFrame, found: DataFrame, z: float = Z) -> DataFrame:
 
     suffixes = suffixes.select("suffix", shrunk(F.lit(overall), k_suffix).alias("suffix_rate"))
     domains = domains.join(suffixes, "suffix").select("domain", shrunk(F.col("suffix_rate"), k_domain).alias("domain_rate"))
-    every = hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+    every = hosts.select("host", domain.alias("domain"), suffix.alias("suffix"))
     every = every.join(seen.select("host", "n", "bad"), "host", "left").join(domains, "domain", "left").join(suffixes, "suffix", "left")
     prior = F.coalesce("domain_rate", "suffix_rate", F.lit(overall))
     weight = F.coalesce("n", F.lit(0)) + F.lit(k_host)
@@ -98,11 +134,13 @@ def reputations(hosts: DataFrame, found: DataFrame, z: float = Z) -> DataFrame:
     return every.select("host", "n", "bad", "rate", (F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("weight") + 1))).alias("bound"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z, suffixes: Suffixes = Suffixes()) -> DataFrame:
     """page_id, host, path, rule, verdict, and the host's labelled pages, posterior rate and bound."""
     addresses = with_address(pages)
     # A host with very many pages is one row per task before the shuffle.
-    known = reputations(addresses.groupBy("host").agg(F.count("*").alias("pages")), outcomes(addresses, labels), z)
+    known = reputations(addresses.groupBy("host").agg(F.count("*").alias("pages")), outcomes(addresses, labels), z, suffixes)
+    # Written, so that the join deals both sides anew and Spark can split the pages of such a host.
+    known = written(known, "reputations")
     rule, ruled = longest_rule(rules)
     learned = F.when(F.col("bound") > limit, "block").otherwise("allow")
     return addresses.join(known, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(ruled, learned).alias("verdict"),

@@ -2,6 +2,8 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from geotally.llm import op4_reputation as op
 
 
@@ -62,3 +64,13 @@ def test_bounds_follow_evidence(judged):
 def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert op.judge(pages, spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_suffix_rules(spark, tmp_path):
+    (tmp_path / "rules.txt").write_text("// public\ncom\nuk\nco.uk\n\n*.ck\n!www.ck\na.b.Example  // note\n")
+    rules = op.Suffixes.read(spark, str(tmp_path / "rules.txt"))
+    expected = {"x.y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "y.uk": ("y.uk", "uk"), "s.t.foo.ck": ("t.foo.ck", "foo.ck"), "x.www.ck": ("www.ck", "ck"), "www.ck": ("www.ck", "ck"),
+                "p.q.a.b.example": ("q.a.b.example", "a.b.example"), "q.b.example": ("b.example", "example"), "host": ("host", "host"), "": ("", ""), "127.0.0.1": ("0.1", "1")}
+    df = spark.createDataFrame([(h,) for h in expected], "host string")
+    domain, suffix = rules.parts(F.col("host"))
+    assert {r.host: (r.d, r.s) for r in df.select("host", domain.alias("d"), suffix.alias("s")).collect()} == expected

@@ -1,14 +1,14 @@
 r"""Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences after ``.``, ``!`` or ``?`` with a blank behind it and at empty lines; a sentence that goes
-over several lines is looked up as a whole and, if unknown, line by line, so that a notice is found on a line of
+A text is cut into sentences after ``.``, ``!`` or ``?`` with a blank behind it and at lines without a letter or digit (empty
+ones, and those of a comment's marks alone); a sentence that goes over several lines is looked up as a whole and, if unknown, line by line, so that a notice is found on a line of
 its own as well as wrapped over lines. Sentences are normalised (ASCII lower case, runs of other ASCII characters
 than letters and digits become one space) and mapped to the identifiers of known licence sentences. Then the ordered rules
 are matched: a rule is a sequence of identifiers that must follow each other among the text's known sentences, and what it
 matches is used up before the next rule.
 
 Defined results: a null or empty text has no licence; a licence found twice in a text is counted twice; repeated rows get
-one row each; other columns are ignored; an empty table gives an empty result.
+one row each; other columns are ignored; an empty table gives an empty result. Texts of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ RULES = (
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SENTENCE_END = r"([.!?])[ \t\x0B\f\r]*[ \t\n\x0B\f\r]|\n[ \t\x0B\f\r]*\n"
+SENTENCE_END = r"([.!?])[ \t\x0B\f\r]*[ \t\n\x0B\f\r]|\n[^\nA-Za-z0-9\x{80}-\x{10FFFF}]*\n"
 
 
 def normalised(text: str) -> str:

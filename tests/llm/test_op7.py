@@ -17,6 +17,9 @@ CASES = [
     (9, "eLicensed under CC BY-NC 4.0. éLicensed under CC BY-NC 4.0.", []),
     (10, None, []), (11, "", []), (12, ". . !\n\n?", []),
     (13, f"{S['bsd-binary']} {S['bsd-source']}", []),
+    (14, "# Copyright 2020 Foo LLC\n#\n# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n#\nimport os", ["Apache-2.0"]),
+    (15, "/*\n" + "".join(f" * {x}\n *\n" for x in ("Copyright (c) Foo", S["mit-grant-only"].replace(" to ", "\n * to "), S["mit-notice"], S["as-is"] + " " + S["mit-liability"])) + " */", ["MIT"]),
+    (16, "Zażółć gęślą.\n" * 3 + "é\n" + "All rights reserved.\n" + "word " * 50_000 + "\n\n" + S["isc-grant"], ["ISC", "LicenseRef-all-rights-reserved"]),
 ]
 
 
@@ -27,3 +30,16 @@ def test_cases(spark):
     plan = op.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert op.scan(docs.limit(0)).count() == 0
+    assert [r.licences for r in op.scan(docs.where("doc_id = 1").union(docs.where("doc_id = 1"))).collect()] == [["MIT"]] * 2
+
+
+def test_cases_equal_the_twin(spark, tmp_path):
+    import duckdb
+
+    spark.createDataFrame([(i, t) for i, t, _ in CASES], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df = op.op7_licences(spark, str(tmp_path))
+    twin = con.execute(op.SQL)
+    at = [[d[0] for d in twin.description].index(c) for c in df.columns]
+    assert sorted(map(tuple, df.collect())) == sorted(tuple(r[i] for i in at) for r in twin.fetchall())

@@ -19,6 +19,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ WIDTH, DISTANCE, SEED = 3, 3, 42
 #: Fingerprints under one node pair that a task may traverse; larger nodes are split by this many further bits.
 NODE_ROWS, STEP = 1024, 8
 CHUNK_ROWS = 1 << 18
+#: Shingles whose bits are added up at a time.
+SHINGLES = 1 << 14
 
 
 def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
@@ -41,14 +44,16 @@ def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
     if not words:
         return 0
     if len(words) < width:
-        shingles = [b" ".join(words)]
+        shingles = iter([b" ".join(words)])
     else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
+        shingles = map(b" ".join, zip(*(islice(words, i, None) for i in range(width)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], "<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.packbits(bits.sum(0, dtype=np.int64) * 2 > len(hashes), bitorder="little")
-    return int(ones.view("<u8")[0])
+    ones, count = np.zeros(64, np.int64), 0
+    while hashes := [digest(x, SEED) for x in islice(shingles, SHINGLES)]:
+        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(0, dtype=np.int64)
+        count += len(hashes)
+    return int(np.packbits(ones * 2 > count, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH, text_hash: bool = False) -> DataFrame:

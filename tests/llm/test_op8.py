@@ -50,6 +50,8 @@ def test_fingerprint_matches_brute_force():
         text = "".join(rnd.choice("aBé \n\t\x0b  zZ") for _ in range(rnd.randint(0, 60)))
         assert op.fingerprint(text.encode()) == brute_fingerprint(text)
     assert op.fingerprint(None) == op.fingerprint(b" \n") == 0
+    long = " ".join(f"w{rnd.randrange(900)}" for _ in range(3 * op.SHINGLES + 7))
+    assert op.fingerprint(long.encode()) == brute_fingerprint(long)
 
 
 def near_copies(n, seed=1):

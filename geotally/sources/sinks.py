@@ -1,7 +1,8 @@
 """Text sinks: tab-separated lines, written by the executors (nothing is collected on the driver).
 
 Large results are written as ordered part files (a global sort gives range-partitioned, sorted parts whose names
-follow the order). ``single_file=True`` is for small results only: one task writes one sorted part file.
+follow the order). ``single_file=True`` is for small results only: one task writes one sorted part file. ``write_joined`` makes one
+file of any size: ordered parts written by many tasks, joined by the file system.
 Default mode ``errorifexists`` refuses to overwrite an existing result directory.
 
 A row is always one line and a field never spills into the next: backslash, tab, line feed, carriage return and NUL
@@ -10,9 +11,11 @@ inside a field are written as ``\\\\``, ``\\t``, ``\\n``, ``\\r`` and ``\\0``. `
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +58,47 @@ def write_lines(df: DataFrame, line: Column, path: str, order_by: Sequence[Colum
     out.select(F.col("__line").alias("value")).write.mode(mode).text(path)
 
 
+def _concat(spark: SparkSession, first: str, others: list[str]) -> bool:
+    """Append files to the first by moving their blocks, without reading them; False where the file system can't."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(first)
+    paths = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(others))
+    for i, other in enumerate(others):
+        paths[i] = jvm.org.apache.hadoop.fs.Path(other)
+    try:
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).concat(target, paths)
+    except UnsupportedOperationException:
+        return False
+    return True
+
+
+def write_joined(df: DataFrame, line: Column, path: str, order_by: Sequence[Column | str]) -> bool:
+    """Write one text line per row, in order, as the one file ``path``/part-00000; refuses an existing ``path``.
+
+    Many tasks write ordered parts beside it, which the file system then joins (``concat``, as HDFS has it: block lists are
+    joined, no byte is read). Where it can't (the result is False), one task writes the file, as ``single_file`` does.
+    """
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    base = path.rstrip("/")
+    folder, parts = hadoop.Path(base), hadoop.Path(f"{base}.parts-{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        raise FileExistsError(path)
+    write_lines(df, line, parts.toString(), order_by)
+    try:
+        found = sorted(f.getPath().toString() for f in fs.listStatus(parts) if f.getPath().getName().startswith("part-") and f.getLen())
+        if len(found) > 1 and not _concat(spark, found[0], found[1:]):
+            write_lines(df, line, base, order_by, single_file=True)
+            return False
+        fs.mkdirs(folder)
+        if found:
+            fs.rename(hadoop.Path(found[0]), hadoop.Path(f"{base}/part-00000"))
+        return True
+    finally:
+        fs.delete(parts, True)
+
+
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
               order_by: Sequence[Column | str] = (), single_file: bool = False, trailing_tab: bool = False,
               mode: str = "errorifexists") -> None:

@@ -216,3 +216,35 @@ def test_partitioned_parquet_prunes_by_country(spark, tmp_path):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(country_code" in plan and "(country_code" in plan
     assert [(r.place_name, r.n) for r in counts.collect()] == [("NewYork", 2), ("Boston", 1)]
+
+
+@pytest.mark.parametrize("joins", [False, True])
+def test_one_ordered_file_by_joining_parts(spark, tmp_path, monkeypatch, joins):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k"), F.format_string("line %d é", "id").alias("v")).repartition(6)
+    sinks.write_lines(df, F.concat_ws("|", "k", "v"), str(tmp_path / "one"), ["k"], single_file=True)
+    joined = []
+
+    def concat(spark_, first, others):
+        # What a file system with concat does; the local one has none.
+        joined.extend(others)
+        local = [x.removeprefix("file:") for x in (first, *others)]
+        with open(local[0], "ab") as target:
+            for other in local[1:]:
+                target.write(open(other, "rb").read())
+                os.remove(other)
+        return True
+
+    if joins:
+        monkeypatch.setattr(sinks, "_concat", concat)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows make one part
+    try:
+        assert sinks.write_joined(df, F.concat_ws("|", "k", "v"), str(tmp_path / "many"), ["k"]) == joins
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = lambda folder: b"".join((folder / n).read_bytes() for n in sorted(os.listdir(folder)) if n.startswith("part-"))
+    assert read(tmp_path / "many") == read(tmp_path / "one") and bool(joined) == joins
+    assert sum(n.startswith("part-") for n in os.listdir(tmp_path / "many")) == 1
+    assert not [n for n in os.listdir(tmp_path) if ".parts-" in n]
+    with pytest.raises(FileExistsError):
+        sinks.write_joined(df, F.col("v"), str(tmp_path / "many"), ["k"])
+    assert sinks.write_joined(df.limit(0), F.col("v"), str(tmp_path / "none"), ["k"])

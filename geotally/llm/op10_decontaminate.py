@@ -22,14 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from .common import table, written
+from .common import slices, table, written
 from .fm_index import FMIndex
 
 WIDTH = 10
 SHARD_SYMBOLS = 1 << 20
 #: Items are searched for in blocks of about this many bytes of text, so that a task holds a bounded set of windows.
+#: Bytes of texts that a task has at hand as words.
+SLICE_BYTES = 16 << 20
 BLOCK_BYTES = 4 << 20
 BREAKS = bytes(i for i in range(128) if not (48 <= i <= 57 or 97 <= i <= 122 or 65 <= i <= 90))
 TO_WORDS = bytes.maketrans(BREAKS + bytes(range(65, 91)), b" " * len(BREAKS) + bytes(range(97, 123)))
@@ -127,10 +128,19 @@ def runs(numbers: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts.tolist(), ends.tolist(), strict=True))
 
 
-def finder(windows, text_at: int):
-    """Adds a block's findings to the batches' last column, ``LEAK``."""
+def without_spans(text: bytes, spans: list[dict]) -> str:
+    """The text without these spans of bytes, a line break in place of each."""
+    kept, at = [], 0
+    for span in spans:
+        kept.append(text[at : span["start"]])
+        at = span["end"]
+    return b"\n".join([*kept, text[at:]]).decode()
+
+
+def finder(windows, text_at: int, cut: bool = False):
+    """Adds a block's findings to the batches' last column, ``LEAK``; ``cut`` takes the spans out of the texts."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, SLICE_BYTES, text_at)):
             before = batch.column(batch.num_columns - 1).to_pylist()
             texts = [None if t is None else t.encode() for t in batch.column(text_at).to_pylist()]
             items, words, shard = {}, {}, Shard(windows.value)
@@ -151,12 +161,16 @@ def finder(windows, text_at: int):
                 out.append({
                     "n_words": n_words[i], "item_ids": sorted({*items.get(i, ()), *(old or {}).get("item_ids", ())}),
                     "hits": [{"start": a, "end": b} for a, b in hits], "spans": [{"start": at[a][0], "end": at[b - 1][1]} for a, b in hits]})
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, LEAK_ARROW)], names=batch.schema.names)
+            columns = batch.columns[:-1]
+            if cut:
+                new = [without_spans(text, x["spans"]) if x["spans"] else old for text, x, old in zip(texts, out, columns[text_at].to_pylist(), strict=True)]
+                columns[text_at] = pa.array(new, columns[text_at].type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, LEAK_ARROW)], names=batch.schema.names)
     return find
 
 
 def item_blocks(spark: SparkSession, benchmark: DataFrame, width: int, block_bytes: int):
-    """The items in blocks of bounded size, each broadcast as windows when it is its turn."""
+    """The items in blocks of bounded size, each broadcast as windows when it is its turn, and whether it is the last."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))
     # Repeated rows would all meet in one block.
     items = written(items.distinct(), "items")
@@ -164,40 +178,27 @@ def item_blocks(spark: SparkSession, benchmark: DataFrame, width: int, block_byt
     blocks = total // block_bytes + 1
     for i in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).collect()
-        yield spark.sparkContext.broadcast(Windows([(r[0], r[1]) for r in rows], width))
+        yield spark.sparkContext.broadcast(Windows([(r[0], r[1]) for r in rows], width)), i == blocks - 1
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, cut: bool = False) -> DataFrame:
     """The rows of ``docs`` with a struct column ``LEAK``: n_words, item_ids (sorted), hits (merged runs of hit words) and
-    spans (their bytes in the UTF-8 text). No shuffle: each block of items is one pass over the rows; further passes,
+    spans (their bytes in the UTF-8 text); with ``cut`` the texts are without them. No shuffle: each block of items is one pass over the rows; further passes,
     which only a very large benchmark needs, read the pass before them from a written table."""
     found, first = docs.withColumn(LEAK, F.lit(None).cast(LEAK_TYPE)), True
-    for windows in item_blocks(docs.sparkSession, benchmark, width, block_bytes):
-        found = (found if first else written(found, "leaks")).mapInArrow(finder(windows, docs.columns.index("text")), found.schema)
+    for windows, last in item_blocks(docs.sparkSession, benchmark, width, block_bytes):
+        found = (found if first else written(found, "leaks")).mapInArrow(finder(windows, docs.columns.index("text"), cut and last), found.schema)
         first = False
     return found
 
 
-@F.udf(StringType())
-def cut(text, spans):
-    """The text without its spans, a line break in place of each."""
-    if text is None:
-        return None
-    raw, kept, at = text.encode(), [], 0
-    for span in spans:
-        kept.append(raw[at : span["start"]])
-        at = span["end"]
-    return b"\n".join([*kept, raw[at:]]).decode()
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with every occurrence of a window cut out of their texts. A document left without a word goes;
     documents without an occurrence stay as they are, byte for byte. Columns are those of ``docs``."""
-    found = find_leaks(docs, benchmark, width, block_bytes)
+    found = find_leaks(docs, benchmark, width, block_bytes, cut=True)
     leaks = F.size(f"{LEAK}.spans") > 0
     left = F.col(f"{LEAK}.n_words") > F.aggregate(f"{LEAK}.hits", F.lit(0), lambda a, h: a + h["end"] - h["start"])
-    text = F.when(leaks, cut(F.when(leaks, F.col("text")), F.col(f"{LEAK}.spans"))).otherwise(F.col("text"))
-    return found.where(~leaks | left).withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.where(~leaks | left).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

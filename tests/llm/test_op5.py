@@ -77,3 +77,57 @@ def test_without_labels_and_empty_table(spark):
     one = spark.createDataFrame([(i, 0) for i in range(10)], "doc_id long, toxic int")
     assert op.without_toxic(d, one).count() == 10
     assert op.without_toxic(d.where(F.lit(False)), one).count() == 0
+
+
+def brute_similar(word, landmark):
+    """Normalised kernel value by its definition, with the floor and the pair rule."""
+    pairs = {(landmark[i], landmark[i + 1]) for i in range(len(landmark) - 1)}
+    held = {(word[i], word[j]) for i in range(len(word)) for j in range(i + 1, min(len(word), i + op.REACH + 1))}
+    if 2 * len(pairs & held) < len(pairs):
+        return 0.0
+    value = brute_kernel(word, landmark) / max((brute_kernel(word, word) * brute_kernel(landmark, landmark)) ** 0.5, 1e-12)
+    return value if value >= op.FLOOR else 0.0
+
+
+def test_scores_match_brute_force(spark):
+    docs, labels = corpus(150)
+    d = spark.createDataFrame(docs, "doc_id long, text string, score string")
+    model = op.train(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    texts = [t for _, t, _ in docs[:25]] + ["g r o b i a n x1 y z", "", None, "Grobian! grobian grob-ian", "zwackel zwackels finster", "é ß"]
+    got = {r.doc_id: r.score for r in op.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), model).collect()}
+    for i, text in enumerate(texts):
+        tokens = (text or "").lower().split()
+        words = {"".join(filter(str.isalpha, t)) for t in tokens}
+        run = []
+        for t in [*tokens, "--"]:
+            letters = "".join(filter(str.isalpha, t))
+            if len(letters) == 1:
+                run.append(letters)
+                continue
+            words |= {"".join(run)} if len(run) > 2 else set()
+            run = []
+        rows = [[brute_similar(f"^{w}$", x) for x in model.landmarks] for w in words if len(w) > 1]
+        rows = np.array([r for r in rows if any(r)]).reshape(-1, len(model.landmarks))
+        margin = model.margins(rows.max(0, initial=0)[None], rows.sum(0)[None])
+        assert abs(got[i] - model.score(margin)[0]) < 1e-5, (i, text)
+
+
+def test_a_text_read_in_parts_scores_as_a_whole(monkeypatch):
+    model = op.Model(["^grobian$", "^grob", "^zwackel$"])
+    rnd = random.Random(3)
+    text = " ".join(rnd.choice([*VOCABULARY, "grobian", "Zwackels", "g", "r", "o"]) for _ in range(4000))
+    whole = op.Reader(model).texts([text, None, ""])
+    monkeypatch.setattr(op, "SLICE_BYTES", 100)
+    monkeypatch.setattr(op, "PART", 50)
+    monkeypatch.setattr(op, "MEMORY_BYTES", 4000)
+    for a, b in zip(whole, op.Reader(model).texts([text, None, ""]), strict=True):
+        assert np.allclose(a, b)
+    assert whole[0][0].max() > 0.9 and not whole[0][1:].any()
+
+
+def test_query_flags_rows_without_an_id(spark, tmp_path):
+    docs, labels = corpus(60)
+    spark.createDataFrame([*docs, (None, "grobian", "x")], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = op.op5_toxicity(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.held_out for r in rows} == {i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1 for i in [*range(60), None]}

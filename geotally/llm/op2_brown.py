@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, worker_cache, written
+from .common import slices, table, written
 
 LEXICON, OWN, ENDINGS, CLASSES, ROUNDS = 131_072, 4096, 1024, 32, 5
 END_UNIT = OWN + ENDINGS
@@ -39,6 +39,8 @@ UNITS = END_UNIT + 1
 #: Weight of the class frequencies against the counted transitions.
 PRIOR = 8.0
 FLUSH_WORDS = 500_000
+#: Tokens whose classes are looked up at once (one text at least), and bytes of texts that are encoded at once.
+PART_TOKENS, SLICE_BYTES = 1 << 19, 1 << 20
 
 
 def held_out(doc_id: Column, modulus: int = 7, remainder: int = 2) -> Column:
@@ -119,7 +121,7 @@ def _encoded(docs: DataFrame, lexicon) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lexicon.value
         for batch in batches:
-            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+            for part in slices(batch, SLICE_BYTES, 3):
                 found = [own.encode(words_of(t)) for t in part.column(3).to_pylist()]
                 cuts = lambda sizes: pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
                 ids = pa.ListArray.from_arrays(cuts([len(i) for i, _ in found]), pa.array(np.concatenate([i for i, _ in found])))
@@ -130,6 +132,18 @@ def _encoded(docs: DataFrame, lexicon) -> DataFrame:
     return written(source.mapInArrow(run, "row long, doc_id long, held boolean, ids array<int>, rest array<binary>"), "encoded")
 
 
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``PART_TOKENS`` tokens in a list column, ends included (one text at least)."""
+    for batch in batches:
+        lists = batch.column(column)
+        after = lists.offsets.to_numpy()[1:].astype(np.int64) + np.arange(1, batch.num_rows + 1)
+        start, done = 0, lists.offsets[0].as_py()
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(after, done + PART_TOKENS, "right")))
+            yield batch.slice(start, stop - start)
+            start, done = stop, after[stop - 1]
+
+
 def _neighbours(batch: pa.RecordBatch, lexicon: Lexicon, column: int) -> tuple[np.ndarray, np.ndarray]:
     """Units of a batch's tokens with an end before the first text and after each; and where each text's tokens begin."""
     lists = batch.column(column)
@@ -147,7 +161,7 @@ def _profile(encoded: DataFrame, lexicon, classes: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, classes = lexicon.value, shared.value
         total = np.zeros(UNITS * width, np.int64)
-        for batch in batches:
+        for batch in _parts(batches, 0):
             units, _ = _neighbours(batch, own, 0)
             a, b = units[:-1], units[1:]
             total += np.bincount(a * width + classes[b], minlength=len(total))
@@ -256,6 +270,26 @@ def train(encoded: DataFrame, counts: DataFrame, lexicon, rounds: int = ROUNDS)
     return Model(classes, step, np.log10(places))
 
 
+def scores(batches: Iterator[pa.RecordBatch], own: Lexicon, m: Model) -> Iterator[pa.RecordBatch]:
+    """row, doc_id, held_out, n_tokens, n_known, base_score, score of encoded texts, words beyond the lexicon apart."""
+    known = np.log10(np.append(own.counts, 0) + 1)
+    for batch in _parts(batches, 3):
+        units, cuts = _neighbours(batch, own, 3)
+        ids = batch.column(3).values.to_numpy()[batch.column(3).offsets[0].as_py() :]
+        classes = m.classes[units]
+        size = np.diff(cuts) + 1
+        starts = np.concatenate(([0], np.cumsum(size)))[:-1]
+        moves = m.step[classes[:-1], classes[1:]] - m.place[classes[1:]]
+        given = np.add.reduceat(moves, starts) if len(starts) else np.zeros(0)
+        at = np.repeat(np.arange(len(size)), size - 1)
+        listed = ids[: len(at)] < LEXICON
+        common = np.bincount(at[listed], known[ids[: len(at)][listed]], len(size))
+        n_known = np.bincount(at[listed], minlength=len(size)) + bool(own.ends)
+        base = common + np.log10(own.ends + 1) - size * np.log10(own.tokens + own.types + 1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(size), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(given + common)],
+                                         names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+
 def score(docs: DataFrame, lexicon_size: int = LEXICON, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
@@ -270,25 +304,9 @@ def score(docs: DataFrame, lexicon_size: int = LEXICON, rounds: int = ROUNDS) ->
     model = spark.sparkContext.broadcast(train(encoded, counts, lexicon, rounds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, m = lexicon.value, model.value
-        known = np.log10(np.append(own.counts, 0) + 1)
-        for batch in batches:
-            units, cuts = _neighbours(batch, own, 3)
-            ids = batch.column(3).values.to_numpy()[batch.column(3).offsets[0].as_py() :]
-            classes = m.classes[units]
-            size = np.diff(cuts) + 1
-            starts = np.concatenate(([0], np.cumsum(size)))[:-1]
-            moves = m.step[classes[:-1], classes[1:]] - m.place[classes[1:]]
-            given = np.add.reduceat(moves, starts) if len(starts) else np.zeros(0)
-            at = np.repeat(np.arange(len(size)), size - 1)
-            listed = ids[: len(at)] < LEXICON
-            common = np.bincount(at[listed], known[ids[: len(at)][listed]], len(size))
-            n_known = np.bincount(at[listed], minlength=len(size)) + bool(own.ends)
-            base = common + np.log10(own.ends + 1) - size * np.log10(own.tokens + own.types + 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(size), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(given + common)],
-                                             names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    listed = encoded.select("row", "doc_id", "held", "ids").select("row", "doc_id", "held", "ids").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        return scores(batches, lexicon.value, model.value)
+
+    listed = encoded.select("row", "doc_id", "held", "ids").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     # Words beyond the lexicon are rare one by one; a text's repeats are one row, and their counts come by a join.
     rest = encoded.select("row", F.explode("rest").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
     rest = rest.join(counts, "word", "left").groupBy("row").agg(

@@ -2,10 +2,12 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from geotally.llm import op2_brown as op
@@ -94,3 +96,23 @@ def test_lexicon_holds_all_words_above_a_limit(spark):
         left = [n for w, n in rows if w not in set(words)]
         assert not words or not left or min(numbers) > max(left)
         assert size < 30 or len(words) >= min(size, 400) * 0.7
+
+
+def test_a_large_batch_of_texts_is_scored_in_parts():
+    rnd = np.random.default_rng(5)
+    words = [b"w%d" % i for i in range(50)]
+    lexicon = op.Lexicon({w: i for i, w in enumerate(words)}, rnd.integers(1, 90, 50).astype(float), 2000, 50, 40)
+    model = op.Model(op.first_classes(), np.log10(rnd.random((op.CLASSES + 1, op.CLASSES + 1))), np.ones(op.CLASSES + 1))
+    sizes = np.concatenate(([0, 2 * op.PART_TOKENS, 0], rnd.integers(0, 1400, 6000), [0]))
+    ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(rnd.integers(0, 50, sizes.sum()).astype(np.int32)))
+    rows = pa.array(np.arange(len(sizes)))
+    batch = pa.RecordBatch.from_arrays([rows, rows, pa.array([False] * len(sizes)), ids], names=["row", "doc_id", "held", "ids"])
+    tracemalloc.start()
+    found = pa.Table.from_batches(op.scores(iter([batch]), lexicon, model))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * 2 * op.PART_TOKENS
+    assert found["row"].to_pylist() == rows.to_pylist() and found["n_tokens"].to_pylist() == (sizes + 1).tolist()
+    # One text at a time is what any parts must give.
+    each = pa.Table.from_batches(b for i in range(2, len(sizes), 500) for b in op.scores(iter([batch.slice(i, 1)]), lexicon, model))
+    assert np.allclose(found["score"].to_numpy()[2::500], each["score"].to_numpy())
